@@ -50,6 +50,10 @@ class Frames:
     def total(self, name: str, n: int, first_row: int | None = None) -> Column:
         return self.full(F.sum(name).over(self.last(n)), n - 1 if first_row is None else first_row)
 
+    def spaced(self, name: str, step: int, times: int) -> Column:
+        """name[0] + name[-step] + ... (``times`` terms), NULL while one is missing."""
+        return reduce(add, [c(name)] + [self.lag(name, step * i) for i in range(1, times)])
+
 
 Builder = Callable[[Frames], Column]
 COLUMNS: dict[str, tuple[tuple[str, ...], Builder]] = {}
@@ -73,8 +77,13 @@ def ratio(num: Column, den: Column, otherwise: float | None = 0.0) -> Column:
 
 
 # -- overlap ---------------------------------------------------------------
-for _n in (5, 10, 12, 20, 26, 50, 100, 200):
+for _n in (5, 10, 12, 26):
     define(f"sma_{_n}", "close")(lambda f, n=_n: f.mean("close", n))
+# a wide mean is the mean of equally wide neighbours: a few lags instead of a wide frame
+for _n, _part in ((20, 10), (50, 10), (100, 50), (200, 50)):
+    define(f"sma_{_n}", f"sma_{_part}")(
+        lambda f, n=_n, part=_part: f.spaced(f"sma_{part}", part, n // part) / (n // part)
+    )
 
 for _n in (10, 20):
     # sum of i*p over the frame, from the slice row number and two running sums
@@ -87,7 +96,7 @@ define("_ip", "close")(lambda f: c("_li") * c("close"))
 define("_sma_trima", "close")(lambda f: f.mean("close", 10))
 define("trima_20", "_sma_trima")(lambda f: f.mean("_sma_trima", 11, 19))
 
-define("bb_middle", "close")(lambda f: f.mean("close", 20))
+define("bb_middle", "sma_20")(lambda f: c("sma_20"))
 define("_sd20", "close")(lambda f: f.full(F.stddev_pop("close").over(f.last(20)), 19))
 define("bb_upper", "bb_middle", "_sd20")(lambda f: c("bb_middle") + 2 * c("_sd20"))
 define("bb_lower", "bb_middle", "_sd20")(lambda f: c("bb_middle") - 2 * c("_sd20"))
@@ -262,22 +271,40 @@ define("close_open_ratio")(lambda f: ratio(c("close"), c("open"), None))
 define("_range_share")(lambda f: ratio(c("high") - c("low"), c("close"), None))
 
 
-def _all_present(f: Frames, name: str, expr: Column) -> Column:
-    return F.when(F.count(name).over(f.last(720)) == 720, expr)
 
+# 720-row frames: mean and squared deviations of 45 rows, merged four at a time.
+# Merging block means keeps the precision that differences of running sums lose.
+def wide_moments(source: str, *inputs: str) -> None:
+    def present(f: Frames, expr: Column) -> Column:
+        return F.when(F.count(source).over(f.last(45)) == 45, expr)
 
-define("volatility_30d", "price_change")(
-    lambda f: _all_present(
-        f, "price_change",
-        F.stddev_samp("price_change").over(f.last(720)) * (24 ** 0.5),
+    define(f"_{source}_m45", *inputs)(lambda f: present(f, F.avg(source).over(f.last(45))))
+    define(f"_{source}_d45", *inputs)(
+        lambda f: present(f, F.var_pop(source).over(f.last(45)) * 45)
     )
+    for rows in (45, 180):
+        mean, dev = f"_{source}_m{rows}", f"_{source}_d{rows}"
+        define(f"_{source}_m{4 * rows}", mean)(
+            lambda f, mean=mean, rows=rows: f.spaced(mean, rows, 4) / 4
+        )
+
+        def merged(f: Frames, mean: str = mean, dev: str = dev, rows: int = rows) -> Column:
+            means = [c(mean)] + [f.lag(mean, rows * i) for i in range(1, 4)]
+            centre = reduce(add, means) / 4
+            between = reduce(add, [(m - centre) * (m - centre) for m in means])
+            return f.spaced(dev, rows, 4) + rows * between
+
+        define(f"_{source}_d{4 * rows}", mean, dev)(merged)
+
+
+wide_moments("price_change", "price_change")
+wide_moments("close", "close")
+wide_moments("_range_share", "_range_share")
+define("volatility_30d", "_price_change_d720")(
+    lambda f: F.sqrt(c("_price_change_d720") / 719) * (24 ** 0.5)
 )
-define("price_volatility_30d", "close")(
-    lambda f: f.full(F.stddev_samp("close").over(f.last(720)), 719)
-)
-define("hl_volatility_30d", "_range_share")(
-    lambda f: _all_present(f, "_range_share", F.avg("_range_share").over(f.last(720)))
-)
+define("price_volatility_30d", "_close_d720")(lambda f: F.sqrt(c("_close_d720") / 719))
+define("hl_volatility_30d", "__range_share_m720")(lambda f: c("__range_share_m720"))
 
 
 # -- candlesticks ----------------------------------------------------------
