@@ -151,18 +151,23 @@ def at_maximum(df: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(top), df[key] == top["_top"], "left_semi")
 
 
-def table_status(df: DataFrame, key: str) -> DataFrame:
-    """Row count and key range, and what a run has to do."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("first_key"),
+def table_status(df: DataFrame, key: str, source_key: str | None = None) -> DataFrame:
+    """Row count, key range and what a run has to do, from the keys of the stored
+    rows and (in ``source_key``, of other rows) the keys of the source."""
+    status = df.agg(
+        F.count(key).alias("n_rows"), F.min(key).alias("first_key"),
         F.coalesce(F.max(key), F.lit(0)).alias("last_key"),
+        *([F.max(source_key).alias("_source_last")] if source_key else []),
     )
+    if not source_key:
+        return status
+    return status.withColumn(
+        "action", next_action(F.col("n_rows"), F.col("last_key"), F.col("_source_last"))
+    ).drop("_source_last")
 
 
-def next_action(n_rows: int, last_key: int, source_last: int) -> str:
-    if n_rows == 0:
-        return "initialize"
-    return "delta" if source_last > last_key else "skip"
+def next_action(n_rows: Column, last_key: Column, source_last: Column) -> Column:
+    return F.when(n_rows == 0, "initialize").when(source_last > last_key, "delta").otherwise("skip")
 
 
 def hour_grid(bounds: DataFrame) -> DataFrame:

@@ -183,6 +183,7 @@ def run(daily: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def last_signals(df: DataFrame, n: int = 4) -> DataFrame:
+    """The newest ``n`` trades, newest first."""
     return (
         df.filter("signal != 0").orderBy(F.col("date").desc()).limit(n)
         .select("date", F.when(F.col("signal") == 1, "LONG").otherwise("SHORT").alias("signal"),
@@ -194,11 +195,11 @@ def report(df: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One record for the latest row.  The 30-row return compares with the 30th
     row from the end and is 0 for 30 rows or fewer."""
     value = lambda c: F.max_by(c, "date")
-    newest = df.orderBy(F.col("date").desc()).limit(30)
-    ago = newest.agg(
-        F.min_by("portfolio_value", "date").alias("_p30"), F.min_by("buy_hold_value", "date").alias("_b30"),
-    )
-    sums = df.agg(
+    newest = Window.partitionBy(*(s.by or [F.lit(0)])).orderBy(F.col("date").desc())
+    df = df.withColumn("_age", F.row_number().over(newest))
+    aged = lambda c: F.max(F.when(F.col("_age") == 30, F.col(c)))
+    sums = df.groupBy(*s.by).agg(
+        aged("portfolio_value").alias("_p30"), aged("buy_hold_value").alias("_b30"),
         F.count(F.lit(1)).alias("_n"), F.max("date").alias("execution_date"),
         value("signal").alias("_signal"), value("position").alias("current_position"),
         F.max_by(F.when(F.col("signal") != 0, F.col("signal")),
@@ -208,11 +209,10 @@ def report(df: DataFrame, s: Settings = Settings()) -> DataFrame:
         F.min_by("portfolio_value", "date").alias("_p0"), value("portfolio_value").alias("_p"),
         value("buy_hold_value").alias("_b"),
     )
-    both = sums.join(F.broadcast(ago))    # one row each
     pct = lambda a, b: (F.col(a) / F.col(b) - 1) * 100
     month = lambda a, b: F.when(F.col("_n") > 30, pct(a, b)).otherwise(F.lit(0.0))
-    return both.select(
-        "execution_date",
+    return sums.select(
+        *s.by, "execution_date",
         F.when(F.col("_signal") == 1, "LONG").when(F.col("_signal") == -1, "SHORT")
         .when(F.col("current_position") == 1, "HOLD BTC").otherwise("HOLD FIAT").alias("current_signal"),
         "current_position", "last_action", "btc_price", "mvrv_zscore", "nupl_zscore",
