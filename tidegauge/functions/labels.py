@@ -14,19 +14,16 @@ POSITIVE = ("the", "and", "for", "with", "that", "la", "und", "le", "by", "this"
 NEGATIVE = ("of", "to", "in", "was", "de", "der", "que", "die", "on", "as")
 
 
-def tokens(text: Column) -> Column:
-    return F.split(F.lower(text), "[^a-z]+")
+def word_count(text: Column, words: tuple[str, ...]) -> Column:
+    """Occurrences of whole lower-case words, in one pass of the text."""
+    return F.regexp_count(text, F.lit(f"(?<![a-z])(?:{'|'.join(words)})(?![a-z])"))
 
 
 def lexicon_score(text: Column) -> Column:
     """(positive - negative) / (positive + negative) words, 0 without any; in [-1, 1]."""
-    signed = F.transform(
-        tokens(text),
-        lambda t: F.when(t.isin(*POSITIVE), 1).when(t.isin(*NEGATIVE), -1).otherwise(0),
-    )
-    hits = F.filter(signed, lambda v: v != 0)
-    total = F.aggregate(hits, F.lit(0), lambda a, v: a + v)
-    return total / F.greatest(F.size(hits), F.lit(1))
+    lower = F.lower(text)
+    good, bad = word_count(lower, POSITIVE), word_count(lower, NEGATIVE)
+    return (good - bad) / F.greatest(good + bad, F.lit(1))
 
 
 Scorer = Callable[[Column], Column]

@@ -96,8 +96,42 @@ define("_ip", "close")(lambda f: c("_li") * c("close"))
 define("_sma_trima", "close")(lambda f: f.mean("close", 10))
 define("trima_20", "_sma_trima")(lambda f: f.mean("_sma_trima", 11, 19))
 
+# Wide second moments: mean and squared deviations of a short frame, merged with
+# equally long neighbours.  Merging keeps the precision that differences of
+# running sums lose.
+def merged_moments(source: str, first: int, times: tuple[int, ...], other: str | None = None) -> None:
+    """Columns _<source>_m<n> and _<source>_d<n> (with ``other``: co-deviations)."""
+    both = f"{source}_{other}" if other else source
+    frame = (
+        (lambda f: F.covar_pop(source, other).over(f.last(first)) * first) if other
+        else (lambda f: F.var_pop(source).over(f.last(first)) * first)
+    )
+    present = lambda f, expr: F.when(F.count(source).over(f.last(first)) == first, expr)
+    if not other:
+        define(f"_{source}_m{first}", source)(lambda f: present(f, F.avg(source).over(f.last(first))))
+    define(f"_{both}_d{first}", source, *([other] if other else []))(lambda f: present(f, frame(f)))
+    rows = first
+    for m in times:
+        left, right = f"_{source}_m{rows}", f"_{other or source}_m{rows}"
+        dev, wide = f"_{both}_d{rows}", rows * m
+        if not other:
+            define(f"_{source}_m{wide}", left)(
+                lambda f, x=left, rows=rows, m=m: f.spaced(x, rows, m) / m
+            )
+
+        def merged(f: Frames, a=left, b=right, dev=dev, rows=rows, m=m) -> Column:
+            at = lambda name, i: f.lag(name, rows * i) if i else c(name)
+            mean_a, mean_b = f.spaced(a, rows, m) / m, f.spaced(b, rows, m) / m
+            between = [(at(a, i) - mean_a) * (at(b, i) - mean_b) for i in range(m)]
+            return f.spaced(dev, rows, m) + rows * reduce(add, between)
+
+        define(f"_{both}_d{wide}", *dict.fromkeys([left, right, dev]))(merged)
+        rows = wide
+
+
 define("bb_middle", "sma_20")(lambda f: c("sma_20"))
 define("_sd20", "close")(lambda f: f.full(F.stddev_pop("close").over(f.last(20)), 19))
+define("var", "_sd20")(lambda f: c("_sd20") * c("_sd20"))
 define("bb_upper", "bb_middle", "_sd20")(lambda f: c("bb_middle") + 2 * c("_sd20"))
 define("bb_lower", "bb_middle", "_sd20")(lambda f: c("bb_middle") - 2 * c("_sd20"))
 
@@ -242,8 +276,11 @@ def _beta(f: Frames) -> Column:
 
 
 define("beta", "_ret_xy", "_ret_xx", "_ret_high", "_ret_low")(_beta)
-define("correl", "high", "low")(
-    lambda f: f.full(F.coalesce(F.corr("high", "low").over(f.last(30)), F.lit(0.0)), 29)
+merged_moments("high", 6, (5,))
+merged_moments("low", 6, (5,))
+merged_moments("high", 6, (5,), other="low")
+define("correl", "_high_d30", "_low_d30", "_high_low_d30")(
+    lambda f: f.full(ratio(c("_high_low_d30"), F.sqrt(c("_high_d30") * c("_low_d30"))), 29)
 )
 define("linearreg_slope", "close")(
     lambda f: f.full(F.regr_slope("close", "_li").over(f.last(14)), 13)
@@ -262,7 +299,6 @@ define("linearreg_angle", "linearreg_slope")(
     lambda f: F.degrees(F.atan("linearreg_slope"))
 )
 define("stddev", "_sd20")(lambda f: c("_sd20"))
-define("var", "close")(lambda f: f.full(F.var_pop("close").over(f.last(20)), 19))
 
 # -- features --------------------------------------------------------------
 define("price_change", "_close_1")(lambda f: ratio(c("close"), c("_close_1"), None) - 1)
@@ -272,34 +308,8 @@ define("_range_share")(lambda f: ratio(c("high") - c("low"), c("close"), None))
 
 
 
-# 720-row frames: mean and squared deviations of 45 rows, merged four at a time.
-# Merging block means keeps the precision that differences of running sums lose.
-def wide_moments(source: str, *inputs: str) -> None:
-    def present(f: Frames, expr: Column) -> Column:
-        return F.when(F.count(source).over(f.last(45)) == 45, expr)
-
-    define(f"_{source}_m45", *inputs)(lambda f: present(f, F.avg(source).over(f.last(45))))
-    define(f"_{source}_d45", *inputs)(
-        lambda f: present(f, F.var_pop(source).over(f.last(45)) * 45)
-    )
-    for rows in (45, 180):
-        mean, dev = f"_{source}_m{rows}", f"_{source}_d{rows}"
-        define(f"_{source}_m{4 * rows}", mean)(
-            lambda f, mean=mean, rows=rows: f.spaced(mean, rows, 4) / 4
-        )
-
-        def merged(f: Frames, mean: str = mean, dev: str = dev, rows: int = rows) -> Column:
-            means = [c(mean)] + [f.lag(mean, rows * i) for i in range(1, 4)]
-            centre = reduce(add, means) / 4
-            between = reduce(add, [(m - centre) * (m - centre) for m in means])
-            return f.spaced(dev, rows, 4) + rows * between
-
-        define(f"_{source}_d{4 * rows}", mean, dev)(merged)
-
-
-wide_moments("price_change", "price_change")
-wide_moments("close", "close")
-wide_moments("_range_share", "_range_share")
+for _source in ("price_change", "close", "_range_share"):
+    merged_moments(_source, 9, (5, 4, 4))
 define("volatility_30d", "_price_change_d720")(
     lambda f: F.sqrt(c("_price_change_d720") / 719) * (24 ** 0.5)
 )
@@ -324,20 +334,25 @@ define("_range10", "_range")(lambda f: F.avg("_range").over(f.last(10, 1)))
 define("_range5", "_range")(lambda f: F.avg("_range").over(f.last(5, 1)))
 
 
+FIELDS = {
+    "open": "open", "high": "high", "low": "low", "close": "close", "body": "_body", "upper": "_upper",
+    "lower": "_lower", "top": "_top", "bottom": "_bottom", "color": "_color", "mean_body": "_body10",
+    "range10": "_range10", "range5": "_range5",
+}
+# earlier bars are lagged once and shared by all patterns; unused ones are pruned
+for _field, _column in FIELDS.items():
+    for _ago in (1, 2, 3):
+        define(f"_{_field}_ago{_ago}", _column)(lambda f, x=_column, n=_ago: f.lag(x, n))
+
+
 @dataclass(frozen=True)
 class Bar:
     """The bar ``ago`` rows before the current one."""
 
-    f: Frames
     ago: int = 0
 
     def __getattr__(self, name: str) -> Column:
-        column = {
-            "open": "open", "high": "high", "low": "low", "close": "close", "body": "_body",
-            "upper": "_upper", "lower": "_lower", "top": "_top", "bottom": "_bottom",
-            "color": "_color", "mean_body": "_body10", "range10": "_range10", "range5": "_range5",
-        }[name]
-        return self.f.lag(column, self.ago) if self.ago else c(column)
+        return c(f"_{name}_ago{self.ago}" if self.ago else FIELDS[name])
 
     @property
     def white(self) -> Column:
@@ -368,17 +383,18 @@ class Bar:
         return 0.6 * self.range5
 
 
-PARTS = ("_body", "_upper", "_lower", "_top", "_bottom", "_color", "_body10", "_range10", "_range5")
-
+def pattern(name: str, first_row: int, earlier: int = 0):
+    """Register a pattern over ``earlier`` bars back: build() gives (value, conditions)."""
+    inputs = tuple(FIELDS.values()) + tuple(
+        f"_{field}_ago{ago}" for field in FIELDS for ago in range(1, earlier + 1)
+    )
 
-def pattern(name: str, first_row: int):
-    """Register a pattern: build(bar) returns (value, conditions)."""
     def register(build):
         def column(f: Frames) -> Column:
-            value, conditions = build(lambda ago=0: Bar(f, ago))
+            value, conditions = build(Bar)
             hit = reduce(lambda a, b: a & b, conditions) & (c("_li") >= first_row)
             return F.when(hit, value).otherwise(F.lit(0)).cast("int")
-        COLUMNS[name] = (PARTS, column)
+        COLUMNS[name] = (inputs, column)
         return build
     return register
 
@@ -388,7 +404,7 @@ def _doji(bar):
     return F.lit(100), [bar().body <= 0.1 * bar().range10]
 
 
-@pattern("cdl_hammer", 11)
+@pattern("cdl_hammer", 11, 1)
 def _hammer(bar):
     b, p = bar(), bar(1)
     return F.lit(100), [
@@ -396,13 +412,13 @@ def _hammer(bar):
     ]
 
 
-@pattern("cdl_inverted_hammer", 11)
+@pattern("cdl_inverted_hammer", 11, 1)
 def _inverted_hammer(bar):
     b, p = bar(), bar(1)
     return F.lit(100), [b.body < b.mean_body, b.upper > b.body, b.no_lower, b.top < p.bottom]
 
 
-@pattern("cdl_hanging_man", 11)
+@pattern("cdl_hanging_man", 11, 1)
 def _hanging_man(bar):
     b, p = bar(), bar(1)
     return F.lit(-100), [
@@ -410,19 +426,19 @@ def _hanging_man(bar):
     ]
 
 
-@pattern("cdl_shooting_star", 11)
+@pattern("cdl_shooting_star", 11, 1)
 def _shooting_star(bar):
     b, p = bar(), bar(1)
     return F.lit(-100), [b.body < b.mean_body, b.upper > b.body, b.no_lower, b.bottom > p.top]
 
 
-@pattern("cdl_engulfing", 2)
+@pattern("cdl_engulfing", 2, 1)
 def _engulfing(bar):
     b, p = bar(), bar(1)
     return 100 * b.color, [b.color == -p.color, b.top > p.top, b.bottom < p.bottom]
 
 
-@pattern("cdl_morning_star", 12)
+@pattern("cdl_morning_star", 12, 2)
 def _morning_star(bar):
     first, star, b = bar(2), bar(1), bar()
     return F.lit(100), [
@@ -431,7 +447,7 @@ def _morning_star(bar):
     ]
 
 
-@pattern("cdl_evening_star", 12)
+@pattern("cdl_evening_star", 12, 2)
 def _evening_star(bar):
     first, star, b = bar(2), bar(1), bar()
     return F.lit(-100), [
@@ -440,7 +456,7 @@ def _evening_star(bar):
     ]
 
 
-@pattern("cdl_three_white_soldiers", 12)
+@pattern("cdl_three_white_soldiers", 12, 2)
 def _white_soldiers(bar):
     x, y, z = bar(2), bar(1), bar()
     return F.lit(100), [
@@ -452,7 +468,7 @@ def _white_soldiers(bar):
     ]
 
 
-@pattern("cdl_three_black_crows", 13)
+@pattern("cdl_three_black_crows", 13, 3)
 def _black_crows(bar):
     before, x, y, z = bar(3), bar(2), bar(1), bar()
     return F.lit(-100), [
@@ -462,7 +478,7 @@ def _black_crows(bar):
     ]
 
 
-@pattern("cdl_harami", 11)
+@pattern("cdl_harami", 11, 1)
 def _harami(bar):
     b, p = bar(), bar(1)
     return -100 * p.color, [
@@ -470,7 +486,7 @@ def _harami(bar):
     ]
 
 
-@pattern("cdl_dark_cloud_cover", 11)
+@pattern("cdl_dark_cloud_cover", 11, 1)
 def _dark_cloud(bar):
     b, p = bar(), bar(1)
     return F.lit(-100), [
@@ -479,7 +495,7 @@ def _dark_cloud(bar):
     ]
 
 
-@pattern("cdl_piercing", 11)
+@pattern("cdl_piercing", 11, 1)
 def _piercing(bar):
     b, p = bar(), bar(1)
     return F.lit(100), [

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import documents as docs
 from tidegauge.plans.catalog import fixed, fixed_sql, query
-from tidegauge.session import table
+from tidegauge.session import spread, table
+
+def pages_of(spark, sf_dir):
+    return spread(table(spark, sf_dir, "pages").select("url", "html"))
+
 
 TITLE_SQL = r"""replace(replace(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'),
   '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"""
@@ -14,7 +18,7 @@ TITLE_SQL = r"""replace(replace(replace(replace(replace(replace(regexp_extract(h
 
 @query("D01_title_extraction", f"SELECT url, trim({TITLE_SQL}) AS title FROM pages")
 def _titles(spark, sf_dir):
-    return docs.extract(table(spark, sf_dir, "pages"), "warehouse").select("url", F.col("raw_title").alias("title"))
+    return docs.extract(pages_of(spark, sf_dir), "warehouse").select("url", F.col("raw_title").alias("title"))
 
 
 _SUFFIXES = (" - Amazon Web Services docs", " – AWS Documentation", " | dbt Docs", "")
@@ -30,7 +34,7 @@ def _clean_titles(spark, sf_dir):
 
 @query("D03_main_container", "SELECT url, contains(html, '<article') AS has_content FROM pages")
 def _container(spark, sf_dir):
-    found = docs.extract(table(spark, sf_dir, "pages"), "dbt")
+    found = docs.extract(pages_of(spark, sf_dir), "dbt")
     return found.select("url", (F.size("sections") > 0).alias("has_content"))
 
 
@@ -38,7 +42,7 @@ def _container(spark, sf_dir):
 def _sections(spark, sf_dir):
     out = None
     for kind in docs.RULES:
-        rows = docs.section_rows(docs.extract(table(spark, sf_dir, "pages"), kind))
+        rows = docs.section_rows(docs.extract(pages_of(spark, sf_dir), kind))
         rows = rows.select(F.lit(kind).alias("kind"), "url", "idx", "heading", F.length("content").alias("n_chars"))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -46,7 +50,7 @@ def _sections(spark, sf_dir):
 
 @query("D05_text_cleanup")
 def _clean(spark, sf_dir):
-    rows = docs.section_rows(docs.extract(table(spark, sf_dir, "pages"), "aws"))
+    rows = docs.section_rows(docs.extract(pages_of(spark, sf_dir), "aws"))
     return rows.select("url", "idx", F.md5("content").alias("content"))
 
 
@@ -113,7 +117,7 @@ def _truncated(spark, sf_dir):
 
 @query("D10_embedding")
 def _embedded(spark, sf_dir):
-    pages = docs.section_rows(docs.extract(table(spark, sf_dir, "pages"), "aws"))
+    pages = docs.section_rows(docs.extract(pages_of(spark, sf_dir), "aws"))
     chunks = docs.chunks(pages, "aws", F.lit("docs"), F.lit("2024-01-01"))
     norm = F.sqrt(F.aggregate("values", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
     return docs.embed(chunks).select("id", F.size("values").alias("size"), fixed(norm, 4).alias("norm"))

@@ -8,7 +8,7 @@ from tidegauge.functions import labels
 from tidegauge.operators import keyed, news
 from tidegauge.plans import fear_greed as fg
 from tidegauge.plans.catalog import fixed, fixed_sql, iso, query, rounded
-from tidegauge.session import table
+from tidegauge.session import spread, table
 
 EPOCH, STEP = 1_704_067_200, 37 * 60
 AS_OF = "2024-01-20 12:30:00"
@@ -56,7 +56,7 @@ def days_sql(where: str = "", name: str = "d") -> str:
 
 
 def articles(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars"))
     return docs.select(
         F.col("doc_id").alias("id"), (F.lit(EPOCH) + F.col("doc_id") * STEP).alias("published_on"),
         F.concat_ws(" ", F.slice(F.split("text", " "), 1, 8)).alias("title"), "source",

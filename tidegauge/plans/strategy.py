@@ -7,6 +7,8 @@ is named in ``by``), so a series is bounded by the calendar.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import add
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -52,11 +54,28 @@ def rolling_std(x: str, n: int, s: Settings) -> Column:
     return F.when(F.count(x).over(s.rows(n)) == n, F.stddev_samp(x).over(s.rows(n)))
 
 
-def weighted_mean(x: str, n: int, s: Settings, row: str = "_row") -> Column:
-    """Linear weights 1..n, from one frame of i*x and x."""
-    rows, i = s.rows(n), F.col(row)
-    moment = F.sum(i * F.col(x)).over(rows) - (i - n) * F.sum(x).over(rows)
-    return F.when(F.count(x).over(rows) == n, moment / (n * (n + 1) / 2))
+def _part(n: int) -> int:
+    """Divisor of ``n`` nearest to its square root."""
+    return min((d for d in range(1, n + 1) if n % d == 0), key=lambda d: abs(d * d - n))
+
+
+def rolling_total(df: DataFrame, x: str, out: str, n: int, s: Settings) -> DataFrame:
+    """Sum over ``n`` rows from sums of a short frame, NULL unless all are present."""
+    part = _part(n)
+    short = F.when(F.count(x).over(s.rows(part)) == part, F.sum(x).over(s.rows(part)))
+    df = df.withColumn("_short", short)
+    terms = [F.col("_short")] + [
+        F.lag("_short", part * i).over(s.series) for i in range(1, n // part)
+    ]
+    return df.withColumn(out, reduce(add, terms)).drop("_short")
+
+
+def weighted_mean(df: DataFrame, x: str, out: str, n: int, s: Settings) -> DataFrame:
+    """Linear weights 1..n, from the totals of i*x and x."""
+    df = df.withColumn("_row", F.row_number().over(s.series)).withColumn("_ix", F.col("_row") * F.col(x))
+    df = rolling_total(rolling_total(df, "_ix", "_moment", n, s), x, "_total", n, s)
+    moment = F.col("_moment") - (F.col("_row") - n) * F.col("_total")
+    return df.withColumn(out, moment / (n * (n + 1) / 2)).drop("_row", "_ix", "_moment", "_total")
 
 
 def exponential_means(df: DataFrame, x: str, n: int, levels: int, s: Settings) -> DataFrame:
@@ -91,20 +110,23 @@ def moving_average(df: DataFrame, x: str, out: str, ma_type: str, n: int, s: Set
         value = F.col("_e1") if levels == 1 else 2 * F.col("_e1") - F.col("_e2")
         return df.withColumn(out, value).drop("_e1", "_e2")
     if ma_type == "WMA":
-        df = df.withColumn("_row", F.row_number().over(s.series))
-        return df.withColumn(out, weighted_mean(x, n, s)).drop("_row")
+        return weighted_mean(df, x, out, n, s)
     return df.withColumn(out, rolling_mean(x, n, s))
 
 
 def interpolate(df: DataFrame, columns: list[str], s: Settings) -> DataFrame:
     """Linear in elapsed days; leading gaps stay NULL, trailing gaps repeat the last value."""
     back = s.series.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = s.series.rowsBetween(0, Window.unboundedFollowing)
+    # the rows ahead are the rows seen so far in descending order: one pass, where
+    # a frame to the end of the series would be scanned again for every row
+    ahead = Window.partitionBy(*(s.by or [F.lit(0)])).orderBy(F.col("date").desc()).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
     day = F.unix_date("date")
 
     def filled(c: str) -> Column:
         known = F.when(F.col(c).isNotNull(), F.struct(day.alias("t"), F.col(c).alias("v")))
-        before, after = F.last(known, True).over(back), F.first(known, True).over(ahead)
+        before, after = F.last(known, True).over(back), F.last(known, True).over(ahead)
         share = (day - before["t"]) / (after["t"] - before["t"])
         return (
             F.when(F.col(c).isNotNull(), F.col(c))

@@ -80,5 +80,15 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(shutil.make_archive(base, "zip", root, "tidegauge"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give row-wise heavy work one partition per core when the scan has fewer.
+
+    Only for plain scans; a large table has many more partitions than cores and
+    is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
