@@ -24,7 +24,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.operators.segments import FRAME_ROWS, HALO, INPUT_LAGS, STATE_LAG, Segmented
+from tidegauge.operators.segments import (
+    FRAME_ROWS, HALO, INPUT_LAGS, STATE_LAG, TAIL, Segmented,
+)
 from tidegauge.session import cut_lineage
 
 KEY = ["symbol", "_seg"]
@@ -676,26 +678,28 @@ STATE_TOLERANCE = 1e-12
 STATES = "symbol string, _seg long, start array<double>, end array<double>"
 
 
-def add_recursive(slices: Segmented, wanted: list[str]) -> DataFrame:
-    """Append the recursive columns ``wanted`` to segmented bars."""
+def add_recursive(slices: Segmented, wanted: list[str], starts: DataFrame | None = None) -> DataFrame:
+    """Append the recursive columns ``wanted`` to segmented bars.
+
+    ``starts`` gives the known starting states (symbol, _seg, carry, state) of
+    later segments; otherwise they are found first.
+    """
     plan = Plan.of(wanted, slices.rows_per_segment)
     schema = PASSED_SCHEMA + "".join(f", {c} double" for c in wanted)
     df = slices.df.select(*PASSED)
     if not slices.split:
         out = df.groupBy(*KEY).applyInPandas(lambda pdf: finish(plan, pdf), schema)
     else:
-        df = cut_lineage(df)
-        carry = _carries(plan, df)
-        state = _states(plan, df, carry)
-        if state is not None:
-            carry = carry.join(state, KEY)
+        if starts is None:
+            df = cut_lineage(df)
+            starts = starting_states(plan, df)
 
         def final(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty:
                 return _empty(*PASSED, *wanted)
             return finish(plan, left, _only(right, "carry"), _only(right, "state"))
 
-        out = df.groupBy(*KEY).cogroup(carry.groupBy(*KEY)).applyInPandas(final, schema)
+        out = df.groupBy(*KEY).cogroup(starts.groupBy(*KEY)).applyInPandas(final, schema)
     return out.select(
         *PASSED,
         *(
@@ -705,6 +709,57 @@ def add_recursive(slices: Segmented, wanted: list[str]) -> DataFrame:
     )
 
 
+def starting_states(plan: Plan, df: DataFrame) -> DataFrame:
+    """(symbol, _seg, carry, state) of every later segment."""
+    carry = _carries(plan, df)
+    state = _states(plan, df, carry)
+    if state is None:
+        return carry.withColumn("state", F.array().cast("array<double>"))
+    return carry.join(state, KEY)
+
+
+CLOSING = "symbol string, _seg long, carry array<double>, state array<double>"
+
+
+def closing(plan: Plan, pdf: pd.DataFrame, carry=None, state=None) -> pd.DataFrame:
+    """States from which bars after this slice continue; none for short series."""
+    if pdf["_halo"].all() or len(pdf) < (TAIL if pdf["_seg"].iloc[0] == 0 else HALO):
+        return _empty("symbol", "_seg", "carry", "state")
+    pdf, x, seg = _slice_inputs(pdf)
+    _with_network(plan, x, seg, carry)
+    at = len(pdf) - FRAME_ROWS - 1
+    linear = [float(x[n.name][at]) for n in plan.nodes] + [float(x["kama"][at]) if plan.kama else 0.0]
+    upto, ends = _from(x, 0, len(pdf) - STATE_LAG), []
+    for i, name in enumerate(plan.systems):
+        begin, known = (0, None) if seg == 0 else (STATE_AT, _split_state(plan, state)[i])
+        ends += SYSTEMS[name][0](upto, begin, known)[1]
+    return pd.DataFrame(
+        {"symbol": [pdf["symbol"].iloc[0]], "_seg": [seg], "carry": [linear], "state": [ends]}
+    )
+
+
+def closing_states(slices: Segmented, wanted: list[str], starts: DataFrame | None = None) -> DataFrame:
+    """(symbol, carry, state) at the end of every symbol long enough to resume."""
+    plan = Plan.of(wanted, slices.rows_per_segment)
+    df = slices.df.select(*PASSED)
+    if not slices.split:
+        out = df.groupBy(*KEY).applyInPandas(lambda pdf: closing(plan, pdf), CLOSING)
+    else:
+        if starts is None:
+            df = cut_lineage(df)
+            starts = starting_states(plan, df)
+
+        def body(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if left.empty:
+                return _empty("symbol", "_seg", "carry", "state")
+            return closing(plan, left, _only(right, "carry"), _only(right, "state"))
+
+        out = df.groupBy(*KEY).cogroup(starts.groupBy(*KEY)).applyInPandas(body, CLOSING)
+    return out.groupBy("symbol").agg(F.max_by(F.struct("carry", "state"), "_seg").alias("_s")).select(
+        "symbol", "_s.carry", "_s.state"
+    )
+
+
 def _only(pdf: pd.DataFrame, column: str):
     if pdf.empty or column not in pdf:
         return None

@@ -23,6 +23,8 @@ FRAME_ROWS = 720        # longest finite frame
 INPUT_LAGS = 32         # rows the inputs of a recursive average look back
 HALO = FRAME_ROWS + INPUT_LAGS
 STATE_LAG = 16          # rows of non-linear output needed before a segment
+SEED_ROWS = 80          # rows after which every recursive average is seeded
+TAIL = HALO + SEED_ROWS
 ROWS_PER_SEGMENT = 50_000
 NUMBERING_SECONDS = 90 * 86_400
 
@@ -64,8 +66,8 @@ def number_rows(bars: DataFrame) -> DataFrame:
 
 
 def segment(bars: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> Segmented:
-    if rows_per_segment < HALO:
-        raise ValueError(f"rows_per_segment must be at least {HALO}")
+    if rows_per_segment < FRAME_ROWS + SEED_ROWS:
+        raise ValueError(f"rows_per_segment must be at least {FRAME_ROWS + SEED_ROWS}")
     if longest_series(bars) <= rows_per_segment:
         order = Window.partitionBy("symbol", "_seg").orderBy("unix_timestamp")
         df = (
@@ -99,5 +101,27 @@ def segment(bars: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> Segmen
     return Segmented(df, True, rows_per_segment)
 
 
+def resume(tail: DataFrame, new: DataFrame, states: DataFrame) -> Segmented:
+    """New bars behind the rows kept of earlier ones.
+
+    A symbol with a known state continues as a later segment behind its last
+    HALO rows; any other symbol is short, so its tail is its whole history.
+    """
+    newest = Window.partitionBy("symbol").orderBy(F.col("unix_timestamp").desc())
+    known = states.select("symbol", F.lit(1).cast("long").alias("_seg"))
+    kept = (
+        tail.withColumn("_age", F.row_number().over(newest)).withColumn("_halo", F.lit(True))
+        .unionByName(new.withColumn("_age", F.lit(0)).withColumn("_halo", F.lit(False)))
+        .join(known, "symbol", "left")
+        .withColumn("_seg", F.coalesce("_seg", F.lit(0).cast("long")))
+        .filter((F.col("_seg") == 0) | (F.col("_age") <= HALO))
+        .drop("_age")
+    )
+    order = Window.partitionBy("symbol", "_seg").orderBy("unix_timestamp")
+    return Segmented(
+        kept.withColumn("_li", (F.row_number().over(order) - 1).cast("long")), True, ROWS_PER_SEGMENT
+    )
+
+
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("_halo")).drop("_halo", "_seg", "_li")

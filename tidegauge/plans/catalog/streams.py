@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from tidegauge.plans import fixtures
 from tidegauge.plans.catalog import fixed, fixed_sql, iso, query, rounded
 from tidegauge.plans.catalog.news import SCORED_SQL, articles
-from tidegauge.plans.catalog.series import bars_sql, full, over
+from tidegauge.plans.catalog.series import (
+    _ADX, RSI, bars_sql, chained, ema, full, listed, over, padded, pairwise, tema_list, wilder,
+)
 from tidegauge.plans.fear_greed import score_news
 from tidegauge.plans.indicators import indicators
+from tidegauge.plans.strategy import Settings, moving_average
 from tidegauge.session import scratch_path
 from tidegauge.streaming import incremental as inc
 
@@ -51,14 +54,53 @@ def _hourly_stream(spark, sf_dir):
     return rounded(out.select(iso("bucket_start").alias("bucket_start"), "total_articles", "fng_index_value"))
 
 
-@query("R05_incremental_indicators", f"""{bars_sql()}
-SELECT symbol, CAST(t AS BIGINT) AS t, {fixed_sql(full(19, f'avg(close) {over(20)}'))} AS sma_20,
-  {fixed_sql("sum(CASE WHEN c1 IS NULL OR close > c1 THEN v WHEN close < c1 THEN -v ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t)")} AS obv FROM r""")
+_CUT = 1_704_067_200 + 26 * 86_400
+_DELTA = ["sma_20", "ema_50", "tema_20", "rsi_14", "obv", "price_volatility_30d"]
+
+
+@query("R05_incremental_indicators", f"""{bars_sql(30)}{listed(
+    [("g", wilder("gain", 14)), ("l0", wilder("loss", 14)), *chained(20, 3)],
+    {"ema_50": padded(ema("c", 50), 49), "tema_20": tema_list(20), "rsi_14": padded(pairwise("g", "l0", RSI), 14)})}
+SELECT symbol, CAST(r.t AS BIGINT) AS t, {fixed_sql(full(19, f'avg(close) {over(20)}'))} AS sma_20,
+  {fixed_sql("u.ema_50")} AS ema_50, {fixed_sql("u.tema_20")} AS tema_20, {fixed_sql("u.rsi_14")} AS rsi_14,
+  {fixed_sql("sum(CASE WHEN c1 IS NULL OR close > c1 THEN v WHEN close < c1 THEN -v ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t)")} AS obv,
+  {fixed_sql(full(719, f"stddev_samp(close) {over(720)}"))} AS price_volatility_30d
+FROM r JOIN u USING (symbol, t)""")
 def _incremental(spark, sf_dir):
-    """A delta run on a table that lacks the newest rows equals a full run."""
-    bars, columns = fixtures.event_bars(spark, sf_dir), ["sma_20", "obv"]
-    cut = F.col("unix_timestamp") < 1_705_500_000
-    stored = indicators(bars.filter(cut), columns)
-    return inc.delta_indicators(stored, bars, columns).select(
-        "symbol", F.col("unix_timestamp").alias("t"), fixed(F.col("sma_20")).alias("sma_20"), fixed(F.col("obv")).alias("obv")
+    """Two runs, the second on the newest bars and the kept progress only."""
+    bars = fixtures.event_bars(spark, sf_dir, 30)
+    stored, progress = inc.first_run(bars.filter(F.col("unix_timestamp") < _CUT), _DELTA)
+    table, _ = inc.delta_indicators(stored, progress, bars.filter(F.col("unix_timestamp") >= _CUT), _DELTA)
+    return table.select(
+        "symbol", F.col("unix_timestamp").alias("t"), *(fixed(F.col(c)).alias(c) for c in _DELTA)
+    )
+
+
+@query("R05_segmented_series", f"""{bars_sql(30)}{listed(
+    [("g", wilder("gain", 14)), ("l0", wilder("loss", 14)), *_ADX],
+    {"ema_50": padded(ema("c", 50), 49), "adx_14": padded("adx", 27), "rsi_14": padded(pairwise("g", "l0", RSI), 14)})}
+SELECT symbol, CAST(r.t AS BIGINT) AS t, {fixed_sql(full(199, f'avg(close) {over(200)}'))} AS sma_200,
+  {fixed_sql("u.ema_50")} AS ema_50, {fixed_sql("u.adx_14")} AS adx_14, {fixed_sql("u.rsi_14")} AS rsi_14
+FROM r JOIN u USING (symbol, t)""")
+def _segmented(spark, sf_dir):
+    """Every symbol cut into several segments; the results do not depend on it."""
+    columns = ["sma_200", "ema_50", "adx_14", "rsi_14"]
+    table = indicators(fixtures.event_bars(spark, sf_dir, 30), columns, rows_per_segment=800)
+    return table.select(
+        "symbol", F.col("unix_timestamp").alias("t"), *(fixed(F.col(c)).alias(c) for c in columns)
     )
+
+
+@query("F03_rolling_weighted_lambda", f"""{bars_sql()}, w AS (SELECT *, list(close) {over(50)} AS closes FROM r)
+SELECT symbol, CAST(t AS BIGINT) AS t, {fixed_sql("CASE WHEN i >= 49 THEN list_sum(list_transform(closes, lambda x, j: x * j)) / 1275 END")} AS ma FROM w""")
+def _rolling_lambda(spark, sf_dir):
+    """The per-window lambda as totals of short frames, one series per symbol."""
+    bars = fixtures.event_bars(spark, sf_dir).withColumn("date", F.col("unix_timestamp"))
+    out = moving_average(bars, "close", "ma", "WMA", 50, Settings(by=["symbol"]))
+    return out.select("symbol", F.col("unix_timestamp").alias("t"), fixed(F.col("ma")).alias("ma"))
+
+
+@query("F04_indicator_table")
+def _all_columns(spark, sf_dir):
+    """All 110 columns over hourly bars."""
+    return rounded(indicators(fixtures.event_bars(spark, sf_dir)))

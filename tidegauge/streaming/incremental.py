@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.functions.labels import Scorer, index_label, index_value, lexicon_score
 from tidegauge.operators.keyed import latest_rows, upsert
-from tidegauge.operators.recursive import OUTPUTS
-from tidegauge.operators.frames import inputs_of
+from tidegauge.operators.frames import BASE, add_frames, inputs_of
+from tidegauge.operators.recursive import OUTPUTS, add_recursive, closing_states
+from tidegauge.operators.segments import (
+    ROWS_PER_SEGMENT, TAIL, drop_halo, longest_series, resume, segment,
+)
 from tidegauge.plans.fear_greed import _counts, score_news
 from tidegauge.plans.indicators import indicators
 
@@ -79,24 +84,63 @@ def current_buckets(spark: SparkSession, out: str) -> DataFrame:
     ).select("bucket_start", "_v.*")
 
 
-def delta_indicators(
-    stored: DataFrame, bars: DataFrame, columns: list[str], warmup_rows: int | None = None,
-) -> DataFrame:
-    """Upsert of the rows newer than the stored maximum of each symbol.
+@dataclass(frozen=True)
+class Progress:
+    """What a delta run needs of earlier bars: the newest rows and the states
+    per symbol.  Both are bounded per symbol, whatever the length of the history."""
+
+    tail: DataFrame
+    states: DataFrame
+
+
+def recursive_inputs(columns: list[str]) -> list[str]:
+    return [c for c in OUTPUTS if c in inputs_of(columns)]
+
+
+def first_run(bars: DataFrame, columns: list[str]) -> tuple[DataFrame, Progress]:
+    """Full indicator table and the progress behind its last bar."""
+    bars = bars.select(*[c for c in bars.columns if c in BASE])
+    states = closing_states(segment(bars), recursive_inputs(columns))
+    return indicators(bars, columns), Progress(latest_rows(bars, "unix_timestamp", TAIL, ["symbol"]), states)
+
 
-    By default the columns are computed over the whole history, so a delta run
-    equals a full run.  ``warmup_rows`` recomputes on that many newest rows only:
-    finite frames stay exact when it covers them, recursive columns restart.
+def next_run(progress: Progress, new: DataFrame, columns: list[str]) -> tuple[DataFrame, Progress]:
+    """Indicator rows of the new bars only, equal to those of a full run.
+
+    Reads the new bars and the bounded progress, never the history.
     """
-    source = bars if warmup_rows is None else latest_rows(bars, "unix_timestamp", warmup_rows, ["symbol"])
-    fresh = indicators(source, columns)
+    if longest_series(new) > ROWS_PER_SEGMENT:
+        raise ValueError("too many new bars for a delta run; use first_run on all bars")
+    new = new.select(*progress.tail.columns)
+    slices = resume(progress.tail, new, progress.states)
+    starts = progress.states.select("symbol", F.lit(1).cast("long").alias("_seg"), "carry", "state")
+    wanted = recursive_inputs(columns)
+    df = add_recursive(slices, wanted, starts) if wanted else slices.df
+    rows = drop_halo(add_frames(df, columns)).select(*new.columns, *columns)
+    # a symbol without new bars keeps its state
+    moved = closing_states(slices, wanted, starts)
+    states = moved.unionByName(progress.states.join(moved, "symbol", "left_anti"))
+    tail = latest_rows(progress.tail.unionByName(new), "unix_timestamp", TAIL, ["symbol"])
+    return rows, Progress(tail, states)
+
+
+def delta_indicators(
+    stored: DataFrame, progress: Progress, new: DataFrame, columns: list[str]
+) -> tuple[DataFrame, Progress]:
+    """Upsert of the rows of new bars into the stored indicator table."""
+    rows, progress = next_run(progress, new, columns)
+    return upsert(stored, rows, ["symbol", "unix_timestamp"], checked=False), progress
+
+
+def restarted_indicators(
+    stored: DataFrame, bars: DataFrame, columns: list[str], warmup_rows: int = 1000
+) -> DataFrame:
+    """The simple delta: recompute on the newest rows and keep those above the
+    stored maximum.  Recursive and cumulative columns restart at the first of
+    those rows, so they differ from a full run."""
+    fresh = indicators(latest_rows(bars, "unix_timestamp", warmup_rows, ["symbol"]), columns)
     marks = stored.groupBy("symbol").agg(F.max("unix_timestamp").alias("_mark"))
     newer = fresh.join(marks, "symbol", "left").filter(
         F.col("_mark").isNull() | (F.col("unix_timestamp") > F.col("_mark"))
     ).drop("_mark")
     return upsert(stored, newer, ["symbol", "unix_timestamp"], checked=False)
-
-
-def exact_warmup(columns: list[str]) -> bool:
-    """Whether a warm-up run is exact: no recursive column is involved."""
-    return not any(c in OUTPUTS for c in inputs_of(columns))
