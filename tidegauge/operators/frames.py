@@ -10,7 +10,7 @@ NULL, integer candlestick columns are 0 there.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
@@ -25,18 +25,23 @@ BASE = {
 
 @dataclass(frozen=True)
 class Frames:
-    """Window shorthands over one slice."""
+    """Window shorthands over one slice; each specification is built once."""
 
     keys: tuple[str, ...] = ("symbol", "_seg")
     order: str = "unix_timestamp"
+    _specs: dict = field(default_factory=dict)
 
     @property
     def series(self):
-        return Window.partitionBy(*self.keys).orderBy(self.order)
+        if "series" not in self._specs:
+            self._specs["series"] = Window.partitionBy(*self.keys).orderBy(self.order)
+        return self._specs["series"]
 
     def last(self, n: int, ending: int = 0):
         """Frame of n rows whose newest row is ``ending`` rows before the current one."""
-        return self.series.rowsBetween(-(n - 1) - ending, -ending)
+        if (n, ending) not in self._specs:
+            self._specs[n, ending] = self.series.rowsBetween(-(n - 1) - ending, -ending)
+        return self._specs[n, ending]
 
     def lag(self, name: str, n: int = 1) -> Column:
         return F.lag(name, n).over(self.series)
@@ -156,21 +161,26 @@ define("stochrsi_fastk", "_stochrsi_raw")(lambda f: f.full(c("_stochrsi_raw"), 2
 define("stochrsi_fastd", "_stochrsi_raw")(lambda f: f.mean("_stochrsi_raw", 3, 20))
 
 define("typprice")(lambda f: (c("high") + c("low") + c("close")) / 3)
+for _ago in range(1, 20):
+    define(f"_tp_ago{_ago}", "typprice")(lambda f, n=_ago: f.lag("typprice", n))
+
+
+def typical_prices(n: int) -> list[str]:
+    return ["typprice"] + [f"_tp_ago{i}" for i in range(1, n)]
+
+
 for _n in (14, 20):
-    define(f"_tp_mean_{_n}", "typprice")(lambda f, n=_n: f.mean("typprice", n))
-    # mean distance of the frame's rows from the current row's own mean
-    define(f"_tp_frame_{_n}", "typprice")(
-        lambda f, n=_n: F.collect_list("typprice").over(f.last(n))
+    define(f"_tp_mean_{_n}", *typical_prices(_n))(
+        lambda f, n=_n: reduce(add, [c(x) for x in typical_prices(n)]) / n
     )
 
+    # mean distance of the frame's rows from the current row's own mean
     def _cci(f: Frames, n: int = _n) -> Column:
         mean, now = c(f"_tp_mean_{n}"), c("typprice")
-        spread = F.aggregate(
-            c(f"_tp_frame_{n}"), F.lit(0.0), lambda acc, x: acc + F.abs(x - mean)
-        ) / n
+        spread = reduce(add, [F.abs(c(x) - mean) for x in typical_prices(n)]) / n
         return f.full(ratio(now - mean, 0.015 * spread), n - 1)
 
-    define(f"cci_{_n}", f"_tp_mean_{_n}", f"_tp_frame_{_n}")(_cci)
+    define(f"cci_{_n}", f"_tp_mean_{_n}", *typical_prices(_n))(_cci)
 
 define("_close_10", "close")(lambda f: f.lag("close", 10))
 define("mom_10", "_close_10")(lambda f: c("close") - c("_close_10"))
@@ -204,31 +214,39 @@ define("_ult_range", "_close_1")(
 )
 
 
+for _x in ("_bp", "_ult_range"):
+    define(f"{_x}_7", _x)(lambda f, x=_x: F.sum(x).over(f.last(7)))
+
+
 def _ultimate(f: Frames) -> Column:
     def part(n: int) -> Column:
-        return ratio(f.total("_bp", n, 28), f.total("_ult_range", n, 28))
-    return 100 * (4 * part(7) + 2 * part(14) + part(28)) / 7
+        return ratio(f.spaced("_bp_7", 7, n // 7), f.spaced("_ult_range_7", 7, n // 7))
+    return f.full(100 * (4 * part(7) + 2 * part(14) + part(28)) / 7, 28)
 
 
-define("ultosc", "_bp", "_ult_range")(_ultimate)
+define("ultosc", "_bp_7", "_ult_range_7")(_ultimate)
 
 # -- volume ----------------------------------------------------------------
 define("_flow", "typprice")(lambda f: c("typprice") * c("volume_btc"))
-define("_typ_1", "typprice")(lambda f: f.lag("typprice"))
-define("_flow_up", "_flow", "_typ_1")(
-    lambda f: F.when(c("typprice") > c("_typ_1"), c("_flow")).otherwise(0.0)
+define("_flow_up", "_flow", "_tp_ago1")(
+    lambda f: F.when(c("typprice") > c("_tp_ago1"), c("_flow")).otherwise(0.0)
 )
-define("_flow_down", "_flow", "_typ_1")(
-    lambda f: F.when(c("typprice") < c("_typ_1"), c("_flow")).otherwise(0.0)
+define("_flow_down", "_flow", "_tp_ago1")(
+    lambda f: F.when(c("typprice") < c("_tp_ago1"), c("_flow")).otherwise(0.0)
 )
 
 
+for _x in ("_flow_up", "_flow_down"):
+    define(f"{_x}_7", _x)(lambda f, x=_x: F.sum(x).over(f.last(7)))
+
+
 def _money_flow(f: Frames) -> Column:
-    up, down = f.total("_flow_up", 14, 14), f.total("_flow_down", 14, 14)
-    return F.when(up + down < 1, F.lit(0.0)).otherwise(100 * up / (up + down))
+    up, down = f.spaced("_flow_up_7", 7, 2), f.spaced("_flow_down_7", 7, 2)
+    share = F.when(up + down < 1, F.lit(0.0)).otherwise(100 * up / (up + down))
+    return f.full(share, 14)
 
 
-define("mfi_14", "_flow_up", "_flow_down")(_money_flow)
+define("mfi_14", "_flow_up_7", "_flow_down_7")(_money_flow)
 
 # -- volatility and price transforms ----------------------------------------
 define("trange", "_close_1")(
@@ -528,8 +546,9 @@ def inputs_of(wanted: list[str]) -> set[str]:
     return need
 
 
-def add_frames(df: DataFrame, wanted: list[str], frames: Frames = Frames()) -> DataFrame:
+def add_frames(df: DataFrame, wanted: list[str], frames: Frames | None = None) -> DataFrame:
     """Append the finite-frame columns ``wanted`` (and drop their helpers)."""
+    frames = frames or Frames()
     have = set(df.columns)
     pending = {n for n in inputs_of(wanted) if n in COLUMNS and n not in have}
     kept = df.columns + [n for n in wanted if n not in have]

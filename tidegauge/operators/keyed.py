@@ -138,13 +138,17 @@ def capped(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def join_latest(prices: DataFrame, mvrv: DataFrame, nupl: DataFrame, n: int = 60) -> DataFrame:
-    """Newest ``n`` rows of each input, then a full outer join on date."""
-    parts = [latest_rows(df, "date", n) for df in (prices, mvrv, nupl)]
-    joined = parts[0].join(parts[1], "date", "full_outer").join(parts[2], "date", "full_outer")
+def join_on_date(prices: DataFrame, mvrv: DataFrame, nupl: DataFrame) -> DataFrame:
+    """Three-way full outer join on date; the joined key is the first non-null one."""
+    joined = prices.join(mvrv, "date", "full_outer").join(nupl, "date", "full_outer")
     return joined.filter(F.col("date").isNotNull())
 
 
+def join_latest(prices: DataFrame, mvrv: DataFrame, nupl: DataFrame, n: int = 60) -> DataFrame:
+    """Newest ``n`` rows of each input, then joined; the limits come first."""
+    return join_on_date(*(latest_rows(df, "date", n) for df in (prices, mvrv, nupl)))
+
+
 def at_maximum(df: DataFrame, key: str) -> DataFrame:
     """Rows whose key equals the greatest key (ties survive)."""
     top = df.agg(F.max(key).alias("_top"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegauge.operators.keyed import join_latest
+from tidegauge.operators.keyed import join_latest, join_on_date
 from tidegauge.plans import fixtures
 from tidegauge.plans import strategy as st
 from tidegauge.plans.catalog import fixed, fixed_sql, query, rounded
@@ -248,31 +248,31 @@ def _last_signals(spark, sf_dir):
 
 
 _PARTS = """
-pm AS (SELECT d, close FROM m WHERE day(d) % 3 <> 0 ORDER BY d DESC LIMIT {n}),
-mm AS (SELECT d, mvrv FROM m WHERE mvrv IS NOT NULL ORDER BY d DESC LIMIT {n}),
-nm AS (SELECT d, nupl FROM m WHERE nupl IS NOT NULL ORDER BY d DESC LIMIT {n})"""
+pm AS (SELECT d, close FROM m WHERE day(d) % 3 <> 0 {limit}),
+mm AS (SELECT d, mvrv FROM m WHERE mvrv IS NOT NULL {limit}),
+nm AS (SELECT d, nupl FROM m WHERE nupl IS NOT NULL {limit})"""
 
 
-def outer_sql(n: int) -> str:
-    return f"""{DAILY_SQL}, {_PARTS.format(n=n)}
+def outer_sql(limit: str = "") -> str:
+    return f"""{DAILY_SQL}, {_PARTS.format(limit=limit)}
 SELECT strftime(coalesce(pm.d, mm.d, nm.d), '%Y-%m-%d') AS date, {fixed_sql('close')} AS close, {fixed_sql('mvrv')} AS mvrv, {fixed_sql('nupl')} AS nupl
 FROM pm FULL OUTER JOIN mm ON pm.d = mm.d FULL OUTER JOIN nm ON coalesce(pm.d, mm.d) = nm.d"""
 
 
-def outer(spark, sf_dir, n: int):
+def three_inputs(spark, sf_dir):
     rows = daily(spark, sf_dir)
-    return dated(join_latest(
+    return (
         rows.filter(F.dayofmonth("date") % 3 != 0).select("date", "close"),
         rows.filter("mvrv IS NOT NULL").select("date", "mvrv"),
-        rows.filter("nupl IS NOT NULL").select("date", "nupl"), n,
-    ))
+        rows.filter("nupl IS NOT NULL").select("date", "nupl"),
+    )
 
 
-@query("J02_three_way_full_outer", outer_sql(1_000_000))
+@query("J02_three_way_full_outer", outer_sql())
 def _outer(spark, sf_dir):
-    return outer(spark, sf_dir, 1_000_000)
+    return dated(join_on_date(*three_inputs(spark, sf_dir)))
 
 
-@query("T04_latest_60_before_join", outer_sql(60))
+@query("T04_latest_60_before_join", outer_sql("ORDER BY d DESC LIMIT 60"))
 def _outer_latest(spark, sf_dir):
-    return outer(spark, sf_dir, 60)
+    return dated(join_latest(*three_inputs(spark, sf_dir), 60))

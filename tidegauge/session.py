@@ -23,6 +23,11 @@ def local_session(cores: int | str = 8, app: str = "tidegauge") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call-site capture costs several gateway calls per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # the wide indicator plan needs several hundred generated classes; the default
+        # cache of 100 makes every task compile them again
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -31,8 +31,12 @@ def fixed_precision(df: DataFrame, digits: int = 8) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, key: str, single_file: bool = False) -> None:
-    """CSV files whose name order is the key order."""
-    ordered = df.repartitionByRange(F.col(key)).sortWithinPartitions(key)
+    """CSV files whose name order is the key order.
+
+    Rows are also ranged by a hash of the row, so one key with very many rows
+    is spread over several files.
+    """
+    ordered = df.repartitionByRange(F.col(key), F.xxhash64(*df.columns)).sortWithinPartitions(key)
     if single_file:
         ordered = df.coalesce(1).sortWithinPartitions(key)
     fixed_precision(ordered).write.mode("overwrite").option("header", True).csv(path)
