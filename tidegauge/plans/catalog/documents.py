@@ -34,7 +34,7 @@ def _clean_titles(spark, sf_dir):
 
 @query("D03_main_container", "SELECT url, contains(html, '<article') AS has_content FROM pages")
 def _container(spark, sf_dir):
-    found = docs.extract(pages_of(spark, sf_dir), "dbt")
+    found = docs.extract(pages_of(spark, sf_dir), "aws")
     return found.select("url", (F.size("sections") > 0).alias("has_content"))
 
 
