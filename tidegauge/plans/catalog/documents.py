@@ -12,8 +12,13 @@ def pages_of(spark, sf_dir):
     return spread(table(spark, sf_dir, "pages").select("url", "html"))
 
 
-TITLE_SQL = r"""replace(replace(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'),
-  '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"""
+# HTML reads these entities without their semicolon, too
+_ENTITIES = {
+    "lt": "'<'", "gt": "'>'", "quot": "chr(34)", "#39": "chr(39)", "nbsp": "chr(160)", "amp": "'&'",
+}
+TITLE_SQL = "regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's')"
+for _entity, _text in _ENTITIES.items():
+    TITLE_SQL = f"regexp_replace({TITLE_SQL}, '&{_entity};?', {_text}, 'g')"
 
 
 @query("D01_title_extraction", f"SELECT url, trim({TITLE_SQL}) AS title FROM pages")
