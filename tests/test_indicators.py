@@ -271,3 +271,19 @@ def test_skip_and_wrap(spark):
     assert len(skipped) == 20
     wrapped = table(indicators(bars, ["price_change"], wrap_first=True), "a")
     assert wrapped.price_change[0] == pytest.approx(wrapped.close[0] / wrapped.close.iloc[-1] - 1)
+
+
+def test_states_forget_where_a_series_started():
+    """Otherwise every segment would wait for the one before it."""
+    rng = np.random.default_rng(5)
+    close = 500 + np.cumsum(rng.normal(0, 1, 2500))
+    pdf = pd.DataFrame({
+        "high": close + rng.random(2500), "low": close - rng.random(2500), "close": close, "open": close,
+        "volume_btc": 1.0,
+    })
+    ends = []
+    for begin in (0, 200):
+        x = rec.price_inputs(pdf.iloc[begin:].reset_index(drop=True))
+        x.update(rec.run_network(rec.NETWORK, x, None))
+        ends.append([v for run, _, _ in rec.SYSTEMS.values() for v in run(x, 0, None)[1]])
+    np.testing.assert_allclose(ends[0], ends[1], rtol=1e-9, atol=1e-9)

@@ -254,7 +254,8 @@ def run_directional(x, begin, state):
             adx = (adx * 13 + dx) / 14
         if seen == 14:
             adx_out[t] = adx
-    return {"dx_14": dx_out, "adx_14": adx_out}, [dx, adx, float(seen), seed]
+    # a used seed is cleared: states of one series must agree wherever it was started
+    return {"dx_14": dx_out, "adx_14": adx_out}, [dx, adx, float(seen), seed if seen < 14 else 0.0]
 
 
 def run_sar(x, begin, state, step=0.02, limit=0.2):
