@@ -10,7 +10,8 @@ from tidegauge.llm.common import BLANKS, ROW, ascii_lower, packed, unpacked
 
 def line_key(line):
     """A line without ASCII white space at its ends, A-Z lower-cased."""
-    return ascii_lower(F.btrim(line, F.lit(BLANKS)))
+    trimmed = F.btrim(line, F.lit(BLANKS))
+    return F.when(F.octet_length(trimmed) == F.length(trimmed), F.lower(trimmed)).otherwise(ascii_lower(trimmed))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -33,9 +34,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = (
         rows.select(F.col(ROW).getField(id_col).alias("_id"), F.md5(text).alias("_t"),
                     F.posexplode(F.split(text, "\n", -1)).alias("_pos", "_line"))
-        .withColumn("_key", line_key(F.col("_line")))
-        .filter(F.length("_key") >= min_chars)
-        .select("_id", "_t", "_pos", F.unhex(F.md5("_key")).alias("_k"))
+        .withColumn("_line", F.btrim("_line", F.lit(BLANKS)))
+        .filter(F.length("_line") >= min_chars)
+        .select("_id", "_t", "_pos", F.unhex(F.md5(line_key(F.col("_line")))).alias("_k"))
     )
     held = lines.select("_k", "_id").distinct()
     shared = (

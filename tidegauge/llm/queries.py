@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.decontaminate import contaminated, find_items
+from tidegauge.llm.html_diff import extract_main_text
+from tidegauge.llm.learned_index import nearest
 from tidegauge.llm.line_dedup import line_dedup
 from tidegauge.llm.mixing import mix
+from tidegauge.llm.quality import held_out, score_quality, train_quality
+from tidegauge.llm.repeats import remove_repeats
 from tidegauge.llm.simhash import simhash_classes
 from tidegauge.llm.token_files import read_token_files, write_token_files
+from tidegauge.llm.toxicity import score_toxicity, train_toxicity
 from tidegauge.session import scratch_path, ship_package, table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -38,6 +43,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_items(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -50,18 +60,60 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held = held_out(F.col("doc_id"), 4, 2)
+    network = train_toxicity(docs.filter(~held), table(spark, sf_dir, "labels").filter(~held))
+    return score_toxicity(docs, network).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(documents(spark, sf_dir), path, tokenizer_path())
     return read_token_files(spark, path)
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Rules learned from the labelled rows of docs that are not held out."""
+    held = held_out(F.col("doc_id"), 5, 0)
+    return train_quality(docs.filter(~held), table(spark, sf_dir, "labels").filter(~held))
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = score_quality(docs, quality_rules(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1,
     "op2_mixing": op2,
+    "op3_html_text": op3,
     "op4_decontamination": op4,
     "op5_simhash": op5,
+    "op6_toxicity": op6,
     "op7_token_files": op7,
+    "op8_quality": op8,
+    "op9_repeats": op9,
+    "op10_nearest": op10,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
