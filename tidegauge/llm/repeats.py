@@ -25,8 +25,9 @@ from tidegauge.llm.common import stored
 LENGTH, GRAM, SYMBOL = 400, 16, 8
 #: Bytes of fragments that are sorted together (whole groups).
 BATCH = 1 << 20
-#: Fragments of a group beyond which its strings are counted by hash over all tasks instead.
-GROUP = 2000
+#: Fragments of a group that one task sorts (some 12 MB of text, 100 MB of arrays); the strings of
+#: a larger group are counted by hash over all tasks instead.
+GROUP = 20_000
 #: Starts that are looked at together in a long text.
 PIECE = 1 << 19
 _INDEX_BITS = np.uint64(20)
