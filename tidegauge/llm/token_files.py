@@ -31,8 +31,8 @@ from tidegauge.llm.common import stored
 MAGIC, HEAD = b"TGB1", struct.Struct("<4sIQI")
 #: Ids after which a block is closed; a document is never cut.
 BLOCK_IDS = 1 << 18
-#: Distinct pieces of text whose ids a Python worker remembers.
-MEMO = 1_000_000
+#: Distinct pieces of text in a generation of a Python worker's memory; it holds two generations.
+MEMO = 700_000
 
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 _BETWEEN = regex.compile(r"(?<=\S) (?=\S)")
@@ -85,6 +85,7 @@ class Encoder:
             self.width[k] = len(token)  # byte-level: one character stands for one byte
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = {mark: self._whole(mark) for mark in _CLOSING}
 
     @classmethod
@@ -125,9 +126,12 @@ class Encoder:
                 first, *rest = text.split(" ")
             cut.append((first, rest))
         if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo = self.memo
-        self._learn([p for p in dict.fromkeys(chain.from_iterable(rest for _, rest in cut)) if p not in memo])
+            self.older, self.memo = self.memo, {}
+        memo, older = self.memo, self.older
+        unknown = dict.fromkeys(chain.from_iterable(rest for _, rest in cut)).keys() - memo.keys()
+        for p in unknown & older.keys():
+            memo[p] = older[p]
+        self._learn(list(unknown - older.keys()))
         return [(self._whole(first) if first else b"") + b"".join(map(memo.__getitem__, rest)) for first, rest in cut]
 
 
