@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.html import Element, clean_text, parse, tagged, with_attribute
@@ -201,6 +201,35 @@ def nearest(vectors: DataFrame, query: list[float], k: int, vector: str = "value
     return scored.orderBy(F.col("score").desc(), key).limit(k)
 
 
+# queries that are compared with the vectors at a time
+QUERY_BLOCK = 64
+
+
+def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, vector: str = "values", key: str = "id") -> DataFrame:
+    """Top-k report by cosine for every row of ``queries``: query_id, key, score.
+
+    Queries are gathered into blocks of unit vectors; each vector meets every block, and
+    only k rows per query leave a task before the final ranking.
+    """
+    def unit(column: str) -> Column:
+        v = F.col(column).cast("array<double>")
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+        return F.transform(v, lambda x: x / norm)
+
+    asked = queries.select(F.col(key).alias("query_id"), unit(vector).alias("_q"))
+    blocks = asked.groupBy(F.floor(F.col("query_id") / F.lit(QUERY_BLOCK)).alias("_b")).agg(
+        F.collect_list(F.struct("query_id", "_q")).alias("_queries")
+    )
+    pairs = vectors.select(key, unit(vector).alias("_v")).join(blocks, F.lit(True)).select(
+        key, "_v", F.explode("_queries").alias("_a")
+    )
+    dot = F.aggregate(F.zip_with("_v", "_a._q", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), key)
+    return pairs.select("_a.query_id", key, dot.alias("score")).withColumn(
+        "_r", F.row_number().over(best)
+    ).filter(F.col("_r") <= k).drop("_r")
+
+
 def topical(urls: DataFrame, topics: tuple[str, ...], skipped: tuple[str, ...]) -> DataFrame:
     """Addresses that contain a topic and no skip pattern (both lower-cased)."""
     url = F.lower("url")

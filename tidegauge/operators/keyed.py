@@ -89,7 +89,8 @@ def wide_by_date(metrics: dict[str, DataFrame], spine: list[str], full_spine: bo
     """Keyed series (date, unix_ts, value) side by side on the dates of ``spine``.
 
     One shuffle: the series are stacked and aggregated per date, instead of a
-    chain of joins.  unix_ts falls back over the first three series.
+    chain of joins.  unix_ts falls back over the first three series.  Of several rows
+    of a series on one date the one with the greatest unix_ts counts.
     """
     stacked = reduce(DataFrame.unionByName, [
         df.select("date", "unix_ts", F.col("value").cast("double"), F.lit(name).alias("metric"))
@@ -100,7 +101,7 @@ def wide_by_date(metrics: dict[str, DataFrame], spine: list[str], full_spine: bo
     out = stacked.groupBy("date").agg(
         *(F.max(F.when(is_(n), F.col("unix_ts"))).alias(f"_ts_{i}") for i, n in enumerate(names[:3])),
         F.max(F.col("metric").isin(spine)).alias("_on_spine"),
-        *(F.max(F.when(is_(n), F.col("value"))).alias(n) for n in names),
+        *(F.max_by(F.when(is_(n), F.col("value")), F.when(is_(n), F.col("unix_ts"))).alias(n) for n in names),
     )
     if not full_spine:
         out = out.filter("_on_spine")
@@ -196,6 +197,8 @@ def missing_rows(expected: DataFrame, stored: DataFrame, keys: list[str]) -> Dat
 
 def newer_than_stored(source: DataFrame, stored: DataFrame, key: str, blank: str | None = None) -> DataFrame:
     """Rows above the stored maximum of ``key`` (all rows when nothing is stored)."""
-    mark = stored.agg(F.max(key)).first()[0]
-    out = source if mark is None else source.filter(F.col(key) > F.lit(mark))
+    mark = stored.agg(F.max(key).alias("_mark"))  # one row
+    out = source.join(F.broadcast(mark), F.lit(True)).filter(
+        F.col("_mark").isNull() | (F.col(key) > F.col("_mark"))
+    ).select(*source.columns)
     return out if blank is None else out.filter(F.trim(F.coalesce(F.col(blank), F.lit(""))) != "")

@@ -61,7 +61,7 @@ def _clean(spark, sf_dir):
 
 # documents as sections, so that the chunk rules compare with SQL
 _SECTION_SQL = """WITH s AS (SELECT doc_id, source AS url, lang AS service, 'T' || doc_id AS title, doc_id % 9 AS idx,
-  CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'H' || lang END AS heading, substr(text, 1, doc_id) AS content FROM documents)"""
+  CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'H' || lang END AS heading, text AS content FROM documents)"""
 _LONG = "length(regexp_replace(content, '\\s', '', 'g')) > 0"
 
 
@@ -70,7 +70,7 @@ def sections(spark, sf_dir):
         "doc_id", F.col("source").alias("url"), F.col("lang").alias("service"),
         F.concat(F.lit("T"), F.col("doc_id")).alias("title"), (F.col("doc_id") % 9).alias("idx"),
         F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("H"), F.col("lang"))).alias("heading"),
-        F.substring("text", F.lit(1), F.col("doc_id").cast("int")).alias("content"),
+        F.col("text").alias("content"),
     )
 
 
@@ -129,11 +129,11 @@ def _embedded(spark, sf_dir):
 
 
 @query("D11_cosine_top_k", f"""
-WITH q AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0),
-s AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], q) AS score FROM embeddings, q)
-SELECT vec_id, {fixed_sql('score', 5)} AS score FROM s ORDER BY s.score DESC, vec_id LIMIT 10""")
+WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 50 = 0),
+s AS (SELECT query_id, vec_id, list_cosine_similarity(embedding::DOUBLE[], q) AS score FROM embeddings, q)
+SELECT query_id, vec_id, {fixed_sql('score', 5)} AS score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s.score DESC, vec_id) <= 10""")
 def _nearest(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("values"))
-    asked = vectors.filter("vec_id = 0").first()["values"]
-    out = docs.nearest(vectors, asked, 10, key="vec_id")
-    return out.select("vec_id", fixed(F.col("score"), 5).alias("score"))
+    out = docs.nearest_each(vectors, vectors.filter("vec_id % 50 = 0"), 10, key="vec_id")
+    return out.select("query_id", "vec_id", fixed(F.col("score"), 5).alias("score"))

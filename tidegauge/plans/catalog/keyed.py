@@ -264,11 +264,11 @@ def _crawl(spark, sf_dir):
 
 @query("P19_high_watermark_filter", """
 SELECT doc_id, n_chars FROM documents WHERE doc_id > (SELECT max(doc_id) FROM documents WHERE doc_id % 10 = 0
-  AND doc_id < 150) AND trim(coalesce(text, '')) <> ''""")
+  AND lang = 'es') AND trim(coalesce(text, '')) <> ''""")
 def _watermark(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text")
-    stored = docs.filter("doc_id % 10 = 0 AND doc_id < 150")
-    return ops.newer_than_stored(docs, stored, "doc_id", "text").drop("text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text", "lang")
+    stored = docs.filter("doc_id % 10 = 0 AND lang = 'es'")
+    return ops.newer_than_stored(docs, stored, "doc_id", "text").drop("text", "lang")
 
 
 @query("P21_warmup_skip", f"""{bars_sql(30)}

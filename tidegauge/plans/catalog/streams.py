@@ -40,16 +40,21 @@ def streamed_index(spark, sf_dir, unit: str):
     return inc.current_buckets(spark, out)
 
 
-@query("R02_triggered_micro_batch", f"{SCORED_SQL}, d AS (SELECT date_trunc('day', pub) AS b, count(*) AS n, {fixed_sql('(avg(score) + 1) / 2 * 100')} AS v FROM s GROUP BY 1) "
-       "SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS bucket_start, n AS total_articles, v AS fng_index_value FROM d")
+def index_sql(unit: str) -> str:
+    return (f"{SCORED_SQL}, d AS (SELECT date_trunc('{unit}', pub) AS b, count(*) AS n, "
+            f"{fixed_sql('(avg(score) + 1) / 2 * 100')} AS v FROM s GROUP BY 1) "
+            "SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS bucket_start, n AS total_articles, v AS fng_index_value FROM d")
+
+
+@query("R02_triggered_micro_batch", index_sql("day"))
 def _daily_stream(spark, sf_dir):
     out = streamed_index(spark, sf_dir, "day")
     return rounded(out.select(iso("bucket_start").alias("bucket_start"), "total_articles", "fng_index_value"))
 
 
-@query("R04_late_data")
+@query("R04_late_data", index_sql("hour"))
 def _hourly_stream(spark, sf_dir):
-    """The second drop is late by up to the whole range: hours behind the watermark stay as they were."""
+    """The second drop is late by up to the whole range; every article counts all the same."""
     out = streamed_index(spark, sf_dir, "hour")
     return rounded(out.select(iso("bucket_start").alias("bucket_start"), "total_articles", "fng_index_value"))
 
@@ -58,14 +63,17 @@ _CUT = 1_704_067_200 + 26 * 86_400
 _DELTA = ["sma_20", "ema_50", "tema_20", "rsi_14", "obv", "price_volatility_30d"]
 
 
-@query("R05_incremental_indicators", f"""{bars_sql(30)}{listed(
+_DELTA_SQL = f"""{bars_sql(30)}{listed(
     [("g", wilder("gain", 14)), ("l0", wilder("loss", 14)), *chained(20, 3)],
     {"ema_50": padded(ema("c", 50), 49), "tema_20": tema_list(20), "rsi_14": padded(pairwise("g", "l0", RSI), 14)})}
 SELECT symbol, CAST(r.t AS BIGINT) AS t, {fixed_sql(full(19, f'avg(close) {over(20)}'))} AS sma_20,
   {fixed_sql("u.ema_50")} AS ema_50, {fixed_sql("u.tema_20")} AS tema_20, {fixed_sql("u.rsi_14")} AS rsi_14,
   {fixed_sql("sum(CASE WHEN c1 IS NULL OR close > c1 THEN v WHEN close < c1 THEN -v ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t)")} AS obv,
   {fixed_sql(full(719, f"stddev_samp(close) {over(720)}"))} AS price_volatility_30d
-FROM r JOIN u USING (symbol, t)""")
+FROM r JOIN u USING (symbol, t)"""
+
+
+@query("R05_incremental_indicators", _DELTA_SQL)
 def _incremental(spark, sf_dir):
     """Two runs, the second on the newest bars and the kept progress only."""
     bars = fixtures.event_bars(spark, sf_dir, 30)
@@ -76,6 +84,22 @@ def _incremental(spark, sf_dir):
     )
 
 
+@query("R05_overlapping_delta", _DELTA_SQL)
+def _overlapping(spark, sf_dir):
+    """The first run saw other closes in its last 100 half hours and missed one bar; the second run delivers
+    these bars again, corrected, with the new ones."""
+    bars = fixtures.event_bars(spark, sf_dir, 30)
+    again = _CUT - 100 * 1800
+    seen = bars.filter(F.col("unix_timestamp") < _CUT).withColumn(
+        "close", F.when(F.col("unix_timestamp") >= again, F.col("close") * 1.01).otherwise(F.col("close"))
+    ).filter(F.col("unix_timestamp") != again + 50 * 1800)
+    stored, progress = inc.first_run(seen, _DELTA)
+    table, _ = inc.delta_indicators(stored, progress, bars.filter(F.col("unix_timestamp") >= again), _DELTA)
+    return table.select(
+        "symbol", F.col("unix_timestamp").alias("t"), *(fixed(F.col(c)).alias(c) for c in _DELTA)
+    )
+
+
 @query("R05_segmented_series", f"""{bars_sql(30)}{listed(
     [("g", wilder("gain", 14)), ("l0", wilder("loss", 14)), *_ADX],
     {"ema_50": padded(ema("c", 50), 49), "adx_14": padded("adx", 27), "rsi_14": padded(pairwise("g", "l0", RSI), 14)})}

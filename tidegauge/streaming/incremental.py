@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -46,50 +46,68 @@ def append_scores(
     return writer.trigger(**trigger).start()
 
 
-def stream_index(scored: DataFrame, unit: str) -> DataFrame:
-    """Hourly or daily index of a scored stream; late articles count while their
-    bucket lies within the trailing day or month."""
-    late = {"hour": "24 hours", "day": "30 days"}[unit]
-    buckets = scored.withWatermark("published_datetime", late).groupBy(
-        F.window("published_datetime", f"1 {unit}").alias("_w")
-    ).agg(*_counts())
-    return buckets.select(
-        F.col("_w.start").alias("bucket_start"), *[c for c in buckets.columns if c != "_w"],
-        index_value(F.col("avg_sentiment_score")).alias("fng_index_value"),
-    ).withColumn("fng_index_label", index_label(F.col("fng_index_value")))
+def bucket_index(scored: DataFrame, unit: str) -> DataFrame:
+    """Hourly or daily index of scored articles."""
+    bucket = F.date_trunc(unit, "published_datetime").alias("bucket_start")
+    buckets = scored.groupBy(bucket).agg(*_counts())
+    return buckets.withColumn("fng_index_value", index_value(F.col("avg_sentiment_score"))).withColumn(
+        "fng_index_label", index_label(F.col("fng_index_value"))
+    )
 
 
 def maintain_index(
     scored: DataFrame, unit: str, out: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Append every changed bucket with its batch number; :func:`current_buckets`
-    keeps the newest version.  A repeated batch rewrites its own folder."""
+    """Keep scored articles by day and recompute the buckets a batch touches.
+
+    However late an article is, its bucket is computed anew from all stored rows of
+    that day, so none is lost and no other day is read.  Changed buckets are appended
+    with their batch number; :func:`current_buckets` keeps the newest version.  A
+    repeated batch rewrites its own folders.
+    """
+    spark = scored.sparkSession
+
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("version", F.lit(number)).write.mode("overwrite").parquet(
-            f"{out}/batch={number}"
+        held = ["published_datetime", "sentiment_score", "sentiment_label"]
+        rows = batch.select(*held, F.to_date("published_datetime").alias("day"))
+        rows.write.mode("overwrite").partitionBy("day").parquet(f"{out}/rows/batch={number}")
+        stored = spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows/batch=*")
+        stored = stored.filter(F.col("batch") <= number)
+        own = spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows/batch={number}")
+        day, bucket = F.col("day"), F.date_trunc(unit, "published_datetime")
+        touched = own.select(day, bucket.alias("_b")).distinct()
+        again = stored.withColumn("_b", bucket).join(touched, ["day", "_b"], "left_semi")
+        bucket_index(again, unit).withColumn("version", F.lit(number)).write.mode("overwrite").parquet(
+            f"{out}/buckets/batch={number}"
         )
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        stream_index(scored, unit).writeStream.outputMode("update").foreachBatch(write)
+        scored.writeStream.outputMode("append").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
 def current_buckets(spark: SparkSession, out: str) -> DataFrame:
-    rows = spark.read.parquet(f"{out}/batch=*")
+    rows = spark.read.parquet(f"{out}/buckets/batch=*")
     values = [c for c in rows.columns if c not in ("bucket_start", "version")]
     return rows.groupBy("bucket_start").agg(
         F.max_by(F.struct(*values), "version").alias("_v")
     ).select("bucket_start", "_v.*")
 
 
+# newest bars per symbol that a later delivery may repeat or correct
+REDO = 200
+
+
 @dataclass(frozen=True)
 class Progress:
-    """What a delta run needs of earlier bars: the newest rows and the states
-    per symbol.  Both are bounded per symbol, whatever the length of the history."""
+    """What a delta run needs of earlier bars, bounded per symbol whatever the length
+    of the history: the ``REDO`` newest bars, the rows before them, and the states
+    between the two, so that the newest bars can be computed anew."""
 
     tail: DataFrame
+    recent: DataFrame
     states: DataFrame
 
 
@@ -97,31 +115,57 @@ def recursive_inputs(columns: list[str]) -> list[str]:
     return [c for c in OUTPUTS if c in inputs_of(columns)]
 
 
+def _set_apart(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All but the ``REDO`` newest bars per symbol, and those."""
+    newest = Window.partitionBy("symbol").orderBy(F.col("unix_timestamp").desc())
+    ranked = bars.withColumn("_age", F.row_number().over(newest))
+    return ranked.filter(F.col("_age") > REDO).drop("_age"), ranked.filter(F.col("_age") <= REDO).drop("_age")
+
+
 def first_run(bars: DataFrame, columns: list[str]) -> tuple[DataFrame, Progress]:
     """Full indicator table and the progress behind its last bar."""
     bars = bars.select(*[c for c in bars.columns if c in BASE])
-    states = closing_states(segment(bars), recursive_inputs(columns))
-    return indicators(bars, columns), Progress(latest_rows(bars, "unix_timestamp", TAIL, ["symbol"]), states)
+    recent = latest_rows(bars, "unix_timestamp", REDO, ["symbol"])
+    older = bars.join(recent.select("symbol", "unix_timestamp"), ["symbol", "unix_timestamp"], "left_anti")
+    states = closing_states(segment(older), recursive_inputs(columns))
+    tail = latest_rows(older, "unix_timestamp", TAIL, ["symbol"])
+    return indicators(bars, columns), Progress(tail, recent, states)
 
 
 def next_run(progress: Progress, new: DataFrame, columns: list[str]) -> tuple[DataFrame, Progress]:
-    """Indicator rows of the new bars only, equal to those of a full run.
+    """Indicator rows from the first delivered bar of each symbol on, equal to those
+    of a full run.
 
-    Reads the new bars and the bounded progress, never the history.
+    Delivered bars replace known ones of the same time and may fill gaps between
+    them, up to ``REDO`` bars back; an older one fails the run, as it needs
+    :func:`first_run`.  Reads the new bars and the bounded progress, never the history.
     """
     if longest_series(new) > ROWS_PER_SEGMENT:
         raise ValueError("too many new bars for a delta run; use first_run on all bars")
+    key = ["symbol", "unix_timestamp"]
     new = new.select(*progress.tail.columns)
-    slices = resume(progress.tail, new, progress.states)
+    settled = progress.tail.groupBy("symbol").agg(F.max("unix_timestamp").alias("_settled"))
+    late = F.raise_error(F.concat(F.lit("bar too old for a delta run: "), F.col("symbol")))
+    fresh = new.join(settled, "symbol", "left").withColumn("unix_timestamp", F.when(
+        F.col("unix_timestamp") <= F.col("_settled"), late.cast("long")
+    ).otherwise(F.col("unix_timestamp"))).select(*new.columns)
+    redone = progress.recent.join(new.select(*key), key, "left_anti").select(*new.columns).unionByName(fresh)
     starts = progress.states.select("symbol", F.lit(1).cast("long").alias("_seg"), "carry", "state")
     wanted = recursive_inputs(columns)
+
+    slices = resume(progress.tail, redone, progress.states)
     df = add_recursive(slices, wanted, starts) if wanted else slices.df
-    rows = drop_halo(add_frames(df, columns)).select(*new.columns, *columns)
-    # a symbol without new bars keeps its state
-    moved = closing_states(slices, wanted, starts)
+    first = new.groupBy("symbol").agg(F.min("unix_timestamp").alias("_first"))
+    rows = drop_halo(add_frames(df, columns)).join(first, "symbol").filter(
+        F.col("unix_timestamp") >= F.col("_first")
+    ).select(*new.columns, *columns)
+
+    done, recent = _set_apart(redone)
+    # a symbol of which no bar is done keeps its state
+    moved = closing_states(resume(progress.tail, done, progress.states), wanted, starts)
     states = moved.unionByName(progress.states.join(moved, "symbol", "left_anti"))
-    tail = latest_rows(progress.tail.unionByName(new), "unix_timestamp", TAIL, ["symbol"])
-    return rows, Progress(tail, states)
+    tail = latest_rows(progress.tail.unionByName(done), "unix_timestamp", TAIL, ["symbol"])
+    return rows, Progress(tail, recent, states)
 
 
 def delta_indicators(
