@@ -158,13 +158,13 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   label_col: str = "quality", sample: int = SAMPLE) -> Rules:
     """Rules learned from labelled documents; unlabelled ones and NULL labels are passed over.
 
-    Labels join on the id; the `sample` labelled ids of smallest hash are taken, so what
-    reaches the driver is bounded: one row of statistics for each.
+    Labels join on the id; the `sample` labelled ids of smallest hash are taken, so the
+    broadcast ids and what reaches the driver (a row of statistics each) are bounded.
     """
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).dropna().dropDuplicates(["_id"])
     marked = marked.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     stats = statistics(F.col(f"`{text_col}`"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_d"), F.col(f"`{text_col}`")).join(marked, F.col("_d") == F.col("_id"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_d"), F.col(f"`{text_col}`")).join(F.broadcast(marked), F.col("_d") == F.col("_id"))
     got = rows.select("_y", "_d", *[c.alias(n) for n, c in stats.items()]).toPandas().sort_values(["_d", *stats])
     return learn_rules(got[list(stats)].to_numpy(np.float64).reshape(-1, len(stats)), got["_y"].to_numpy(np.float64))
 

@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 WINDOW, STRIDE = 24, 16
 WORD_BITS, GRAM_BITS = 15, 13
 WORD_DIM, GRAM_DIM, HIDDEN = 8, 8, 8
-#: Labelled documents of either class, of at most SAMPLE_WORDS words, that the network is trained on.
-SAMPLE, SAMPLE_WORDS = 1500, 600
+#: Labelled documents of either class that are drawn for training; those above SAMPLE_BYTES are only scored.
+SAMPLE, SAMPLE_BYTES = 2000, 4000
 THRESHOLD = 0.3
 BATCH_BYTES = 1 << 20
 
@@ -269,21 +269,21 @@ def _adam(p, m, s, grad, speed, step, rows=slice(None)) -> None:
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", sample: int = SAMPLE, sample_words: int = SAMPLE_WORDS) -> Network:
+                   label_col: str = "toxic", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network:
     """Network learned from labelled documents; unlabelled ones and NULL labels are passed over.
 
-    Of each class the `sample` ids of smallest hash whose texts have at most `sample_words`
-    blanks: that bounds what the driver holds. Longer texts serve only to be scored.
+    Of each class the `sample` labelled ids of smallest hash are drawn and broadcast (two
+    numbers each), so no text is shuffled; of their texts those of at most `sample_bytes` bytes come to the
+    driver. Longer texts serve only to be scored.
     """
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).dropna().dropDuplicates(["_id"])
+    drawn = [marked.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample) for y in (0, 1)]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_d"), text.alias("_t")).filter(
-        F.length("_t") - F.length(F.translate("_t", " ", "")) <= sample_words)
-    rows = rows.join(marked, F.col("_d") == F.col("_id")).select("_d", "_y", "_t")
-    order = [F.xxhash64("_d"), F.col("_d"), F.col("_t")]
-    got = [r for y in (0, 1) for r in rows.filter(F.col("_y") == y).orderBy(*order).limit(sample).collect()]
+    rows = docs.select(F.col(f"`{id_col}`").alias("_d"), text.alias("_t")).filter(F.octet_length("_t") <= sample_bytes)
+    rows = rows.join(F.broadcast(drawn[0].union(drawn[1])), F.col("_d") == F.col("_id")).select("_d", "_y", "_t")
+    got = sorted((r["_d"], r["_y"], r["_t"]) for r in rows.collect())
     prior = marked.agg(F.avg("_y")).first()[0]
-    return train([r["_t"] for r in got], np.array([r["_y"] for r in got], dtype=np.float64), 0.5 if prior is None else prior)
+    return train([t for _, _, t in got], np.array([y for _, y, _ in got], dtype=np.float64), 0.5 if prior is None else prior)
 
 
 def _score(shared, where: int):
