@@ -70,36 +70,58 @@ cdc change-data-capture incremental delta insert update delete upsert
 overview introduction getting-started concepts best-practice example guide
 """.split())
 
-_DBT, _IICS = "https://docs.getdbt.com/", "https://docs.informatica.com/"
-_CURRENT = _IICS + "integration-cloud/data-integration/current-version/"
+# fixed values: seed addresses by service
 SEEDS: dict[str, tuple[str, ...]] = {
-    "dbt-core": tuple(_DBT + path for path in """
-docs/introduction docs/build/models docs/build/sql-models docs/build/python-models
-docs/build/sources docs/build/tests docs/build/snapshots docs/build/jinja-macros
-reference/model-configs reference/source-configs reference/project-configs reference/dbt-commands
-reference/resource-configs/incremental_strategy reference/resource-configs/on_schema_change
-docs/build/incremental-models docs/build/incremental-strategy
-reference/resource-configs/snowflake-configs reference/resource-configs/bigquery-configs
-reference/resource-configs/redshift-configs docs/build/hooks-operations
-reference/resource-configs/grants docs/build/contracts docs/build/packages
-reference/dbt-jinja-functions/ref reference/dbt-jinja-functions/source
-reference/dbt-jinja-functions/var reference/dbt-jinja-functions/env_var
-reference/dbt-jinja-functions/run_query
-""".split()),
-    "iics-data-integration": tuple(
-        [_CURRENT + f"{part}/{part}-overview.html" for part in (
-            "mappings", "mapping-tasks", "transformations",
-        )]
-        + [_CURRENT + f"transformations/{kind}-transformation.html" for kind in (
-            "expression", "filter", "joiner", "aggregator", "router", "lookup", "union", "sorter",
-            "rank", "update-strategy", "sequence-generator", "normalizer",
-        )]
-        + [_CURRENT + f"{part}/{part}-overview.html" for part in (
-            "mapping-parameters-and-variables", "pushdown-optimization",
-        )]
+    "dbt-core": (
+        "https://docs.getdbt.com/docs/introduction",
+        "https://docs.getdbt.com/docs/build/models",
+        "https://docs.getdbt.com/docs/build/sql-models",
+        "https://docs.getdbt.com/docs/build/python-models",
+        "https://docs.getdbt.com/docs/build/sources",
+        "https://docs.getdbt.com/docs/build/tests",
+        "https://docs.getdbt.com/docs/build/snapshots",
+        "https://docs.getdbt.com/docs/build/jinja-macros",
+        "https://docs.getdbt.com/reference/model-configs",
+        "https://docs.getdbt.com/reference/source-configs",
+        "https://docs.getdbt.com/reference/project-configs",
+        "https://docs.getdbt.com/reference/dbt-commands",
+        "https://docs.getdbt.com/reference/resource-configs/incremental_strategy",
+        "https://docs.getdbt.com/reference/resource-configs/on_schema_change",
+        "https://docs.getdbt.com/docs/build/incremental-models",
+        "https://docs.getdbt.com/docs/build/incremental-strategy",
+        "https://docs.getdbt.com/reference/resource-configs/snowflake-configs",
+        "https://docs.getdbt.com/reference/resource-configs/bigquery-configs",
+        "https://docs.getdbt.com/reference/resource-configs/redshift-configs",
+        "https://docs.getdbt.com/docs/build/hooks-operations",
+        "https://docs.getdbt.com/reference/resource-configs/grants",
+        "https://docs.getdbt.com/docs/build/contracts",
+        "https://docs.getdbt.com/docs/build/packages",
+        "https://docs.getdbt.com/reference/dbt-jinja-functions/ref",
+        "https://docs.getdbt.com/reference/dbt-jinja-functions/source",
+        "https://docs.getdbt.com/reference/dbt-jinja-functions/var",
+        "https://docs.getdbt.com/reference/dbt-jinja-functions/env_var",
+        "https://docs.getdbt.com/reference/dbt-jinja-functions/run_query",
+    ),
+    "iics-data-integration": (
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/mappings/mappings-overview.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/mapping-tasks/mapping-tasks-overview.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/transformations-overview.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/expression-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/filter-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/joiner-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/aggregator-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/router-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/lookup-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/union-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/sorter-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/rank-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/update-strategy-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/sequence-generator-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/transformations/normalizer-transformation.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/mapping-parameters-and-variables/mapping-parameters-and-variables-overview.html",
+        "https://docs.informatica.com/integration-cloud/data-integration/current-version/pushdown-optimization/pushdown-optimization-overview.html",
     ),
     "iics-pc-migration": (
-        _IICS + "data-integration/powercenter/current-version/pc-to-iics-migration-guide/"
-        "migration-overview.html",
+        "https://docs.informatica.com/data-integration/powercenter/current-version/pc-to-iics-migration-guide/migration-overview.html",
     ),
 }
