@@ -86,7 +86,8 @@ def fingerprint_links(fingerprints: DataFrame, column: str = "_fp", distance: in
     first_variant = F.coalesce(*[
         F.when(F.bit_count(part) == 1, F.round(F.log2(F.abs(part.cast("double")))).cast("int")).when(F.bit_count(part) == 0, F.lit(first))
         for first, width in cut for part in [differ.bitwiseAND(F.lit(_signed(_mask(first, width))))]])
-    return left.join(right, (left["at"] == right["at"]) & (left["rest"] == right["rest"]) & (F.col("a") < F.col("b"))
+    # the index is 64 times its table, which Spark's size estimate does not see: never broadcast it
+    return left.hint("merge").join(right, (left["at"] == right["at"]) & (left["rest"] == right["rest"]) & (F.col("a") < F.col("b"))
                      & (F.bit_count(differ) <= distance) & (left["at"] == first_variant)).select("a", "b")
 
 
