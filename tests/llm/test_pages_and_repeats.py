@@ -63,6 +63,18 @@ def test_copies_and_odd_pages_keep_their_text(spark):
     assert extract_main_text(pages_of(spark, rows).limit(0)).count() == 0
 
 
+def test_lines_are_compared_inside_and_outside_of_articles(spark):
+    page = "<div>Site name</div><article><p>Read our terms</p><p>{0} teaser</p></article><p>{0} rest</p><p>Sign off</p>"
+    rows = [(i, f"http://a.example/x/{i}", page.format(w)) for i, w in enumerate(["red", "green", "blue", "grey"])]
+    # nearly the same article twice: one other page is not enough to take lines out of an article
+    rows += [(10 + i, f"http://b.example/x/{i}", f"<div>Site</div><article><p>one<p>two<p>{w}</article>") for i, w in enumerate(["x", "y"])]
+    # nothing left: the article speaks
+    rows += [(20 + i, f"http://c.example/x/{i}", f"<div>Site</div><article><p>one</article><p>{w}</p>") for i, w in enumerate(["x", "", "y"])]
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages_of(spark, rows)).collect()}
+    assert got == {0: "red teaser red rest", 1: "green teaser green rest", 2: "blue teaser blue rest", 3: "grey teaser grey rest",
+                   10: "one two x", 11: "one two y", 20: "x", 21: "one", 22: "y"}
+
+
 def test_pages_query_against_plain_form(spark):
     import html
     import re

@@ -1,4 +1,4 @@
-"""Main text of pages: markup rules and differencing against the nearest page of the host."""
+"""Main text of pages: differencing against the nearest different pages of the host, with markup as evidence beside it."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +29,8 @@ ASIDE_MARKS = frozenset((
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kbd mark q s samp small span strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
-#: Share of lines in common from which two pages count as copies and are not compared.
-COPY = 0.8
+#: Different pages that are kept on either side of a page: two to compare with, and one that may be its copy.
+KEPT = 3
 
 
 def _set_aside(name: str, attributes: str) -> bool:
@@ -113,59 +114,168 @@ def common_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     return left, right
 
 
-def main_text(lines: list[tuple[str, bool]], shared: set[int]) -> str:
-    """Lines of the article elements; without any, all lines that are not shared."""
+def main_text(lines: list[tuple[str, bool]], shared: list[set[int]]) -> str:
+    """Lines that other pages of the host do not share; shared holds the places shared with each of up to two of them.
+
+    A line inside an article or main element goes if two pages share it, any other line if one
+    does. These elements decide alone on a page without another page, and on one of which
+    no line would stay.
+    """
+    once = set().union(*shared)
+    twice = set.intersection(*shared) if len(shared) > 1 else set()
+    left = [text for i, (text, main) in enumerate(lines) if i not in (twice if main else once)]
+    if shared and left:
+        return " ".join(left)
     inside = [text for text, main in lines if main]
-    if inside:
-        return " ".join(inside)
-    return " ".join(text for i, (text, _) in enumerate(lines) if i not in shared)
+    return " ".join(inside or left)
+
+
+class _Page:
+    """Lines of a page; of one beyond the range only their digests are known."""
+
+    def __init__(self, host: str, lines: list[str] | None, digests: bytes | None = None):
+        self.host, self.lines, self._digests = host, lines, digests
+
+    def digests(self) -> bytes:
+        if self._digests is None:
+            self._digests = b"".join(blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest() for t in self.lines)
+        return self._digests
+
+    def same(self, other: _Page) -> bool:
+        if self.lines is None or other.lines is None:
+            return self.digests() == other.digests()
+        return self.lines == other.lines
+
+    def common(self, other: _Page) -> tuple[set[int], set[int]]:
+        if self.lines is None or other.lines is None:
+            return common_lines(*([d[i:i + 8] for i in range(0, len(d), 8)] for d in (self.digests(), other.digests())))
+        return common_lines(self.lines, other.lines)
+
+
+def _different(pages: list[_Page], most: int = KEPT) -> list[_Page]:
+    """The first few of the pages, each different from those before it."""
+    out: list[_Page] = []
+    for page in pages:
+        if len(out) < most and not any(page.same(p) for p in out):
+            out.append(page)
+    return out
+
+
+class _Run:
+    """Copies side by side, with the nearest different pages before and after them."""
+
+    def __init__(self, page: _Page, rows: list[tuple], recent: list[_Page]):
+        self.page, self.rows = page, rows
+        self.before = _different([page, *recent])[1:]
+        self.after: list[_Page] = []
+        self.shared: dict[int, set[int]] = {}
 
+    def follow(self, page: _Page) -> bool:
+        """Takes a page after it; whether no more of them are needed."""
+        self.after = _different([self.page, *self.after, page])[1:3]
+        return len(self.after) > (0 if self.before else 1)
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order of host and path; each is compared with the row before and after it."""
-    before = None  # [columns, host, lines, shared]
+    def texts(self) -> Iterator[tuple]:
+        near = _different(self.before[:1] + self.after[:1] + self.before[1:] + self.after[1:], 2)
+        shared = [self.shared[id(p)] if id(p) in self.shared else self.page.common(p)[0] for p in near]
+        marks = text = None
+        for page, url, main in self.rows:
+            if main is not marks:
+                marks, text = main, main_text(list(zip(self.page.lines, main, strict=True)), shared)
+            yield page, url, text
 
-    def emit(row) -> tuple:
-        return row[0], row[1], main_text(row[3], row[4])
 
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str], list[tuple]]]:
+    """(host, lines, [(id, url, whether each line is in an article or main element)]) of the runs of copies:
+    neighbouring pages of a host whose whole line lists are equal.
+
+    Pages without lines are runs of their own.
+    """
+    host, lines, rows = None, [], []
+    for batch in batches:
+        for page, url, at, body in zip(*(batch.column(k) for k in range(4)), strict=True):
+            found, place = lines_of(body.as_py()), at.as_py()
+            one, main = [t for t, _ in found], tuple(m for _, m in found)
+            if not one:
+                yield place, one, [(page.as_py(), url.as_py(), main)]
+                continue
+            if rows and (place != host or one != lines):
+                yield host, lines, rows
+                rows = []
+            host, lines = place, one
+            if rows and rows[-1][2] == main:
+                main = rows[-1][2]
+            rows.append((page.as_py(), url.as_py(), main))
+    if rows:
+        yield host, lines, rows
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], seen: dict) -> Iterator[pa.RecordBatch]:
+    """Notes the number of the range and the type of the ids."""
+    for batch in batches:
+        seen["kind"] = batch.schema.field(0).type
+        if batch.num_rows:
+            seen["range"] = batch.column(4)[0].as_py()
+        yield batch
+
+
+def _compare():
+    """Rows come in order of host and path; each run of copies is compared with the nearest different pages of its host."""
+
+    def packed(rows: list[tuple], kind) -> pa.RecordBatch:
         ids, urls, texts = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, kind), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["_id", "_url", "text", "n_chars"])
 
-    kind = pa.int64()
-    out: list[tuple] = []
-    for batch in batches:
-        kind = batch.schema.field(0).type
-        for page, url, host, body in zip(*(batch.column(k) for k in range(4)), strict=True):
-            row = (page.as_py(), url.as_py(), host.as_py(), lines_of(body.as_py()), set())
-            if before is not None:
-                if before[2] == row[2]:
-                    a, b = [t for t, _ in before[3]], [t for t, _ in row[3]]
-                    left, right = common_lines(a, b)
-                    if len(left) < COPY * max(1, min(len(a), len(b))):
-                        before[4].update(left)
-                        row[4].update(right)
-                out.append(emit(before))
-            before = row
-            if len(out) >= 500:
-                yield packed(out)
-                out = []
-    if before is not None:
-        out.append(emit(before))
-    if out:
-        yield packed(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict = {}
+        out: list[tuple] = []
+        recent: list[_Page] | None = None  # different pages of the host, nearest first
+        waiting: list[_Run] = []
+
+        for host, lines, rows in _runs(_numbered(batches, seen)):
+            if not lines:
+                out.extend((page, url, "") for page, url, _ in rows)
+            else:
+                page = _Page(host, lines)
+                if recent is None:
+                    recent = []
+                elif recent and recent[0].host != host:
+                    for r in waiting:
+                        out.extend(r.texts())
+                    recent, waiting = [], []
+                now = _Run(page, rows, recent)
+                if waiting and recent and waiting[-1].page is recent[0]:
+                    waiting[-1].shared[id(page)], now.shared[id(recent[0])] = recent[0].common(page)
+                still = []
+                for r in waiting:
+                    if r.follow(page):
+                        out.extend(r.texts())
+                    else:
+                        still.append(r)
+                waiting = [*still, now]
+                recent = _different([page, *recent])
+            while len(out) >= 500:
+                yield packed(out[:500], seen["kind"])
+                del out[:500]
+        for r in waiting:
+            out.extend(r.texts())
+        for at in range(0, len(out), 500):
+            yield packed(out[at:at + 500], seen["kind"])
+
+    return run
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The id and url of each page with text and n_chars (code points).
 
     Pages are dealt by range of (host, path), so a host of any size is many tasks and pages
-    with the nearest URLs lie side by side; each is aligned with the page before and after it
-    by the longest common subsequence of their lines. Lines that a neighbour shares are
-    deleted, unless an article or main element says what the main text is or the pages are
-    copies of each other (COPY). The page at the edge of a range has one neighbour.
+    with the nearest URLs lie side by side. Each page is aligned with the nearest different page
+    before it and after it in its host (at the end of a host: the two nearest on one side) by the
+    longest common subsequence of their lines. A line that one of the two shares is deleted; a line
+    inside an article or main element only if both do. Copies are pages whose whole line
+    lists are equal; a run of them is compared as one page. Pages beyond the edge of a range are not seen.
 
     NULL or empty html: empty text. NULL urls form one host. Repeated rows are copies of each
     other and stay. An empty table gives an empty result.
@@ -174,10 +284,12 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     rest = F.regexp_replace(F.lower(url), r"^[a-z]+://|[?#].*$", "")
     host = F.regexp_replace(F.regexp_extract(rest, r"^([^/]*)", 1), r"^(www|m|mobile)\.", "")
     path = F.regexp_replace(F.regexp_extract(rest, r"^[^/]*(.*)$", 1), r"(/|\.html?)+$", "")
+    body = F.col(f"`{html_col}`").cast("string")
     rows = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").cast("string").alias("_url"), host.alias("_host"),
-                        F.col(f"`{html_col}`").cast("string").alias("_html"), path.alias("_path"))
+                        body.alias("_html"), path.alias("_path"), F.xxhash64(body).alias("_body"))
     kind = pages.schema[id_col].dataType.simpleString()
-    order = ["_host", "_path", "_url", "_id"]
-    return (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "_url", "_host", "_html")
-            .mapInArrow(_compare, f"_id {kind}, _url string, text string, n_chars long")
+    order = ["_host", "_path", "_url", "_id", "_body"]
+    return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+            .select("_id", "_url", "_host", "_html", F.spark_partition_id().alias("_range"))
+            .mapInArrow(_compare(), f"_id {kind}, _url string, text string, n_chars long")
             .withColumnRenamed("_id", id_col).withColumnRenamed("_url", url_col))
