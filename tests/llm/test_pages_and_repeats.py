@@ -75,6 +75,26 @@ def test_lines_are_compared_inside_and_outside_of_articles(spark):
                    10: "one two x", 11: "one two y", 20: "x", 21: "one", 22: "y"}
 
 
+def test_only_equal_pages_are_copies_and_ranges_do_not_matter(spark):
+    menu = "".join(f"<div>menu {i}</div>" for i in range(40))
+    page = lambda w: menu + "".join(f"<p>{w} {i}</p>" for i in range(5))
+    rows = [(10 * i + j, f"http://a.example/p{i}?copy={j}", page(w)) for i, w in enumerate(["red", "green", "blue"]) for j in range(4)]
+    rows += [(100, "http://a.example/p1?copy=2x", None), (200, "http://b.example/1", page("lone")), (300, "http://c.example/1", menu), (301, "http://c.example/2", page("c"))]
+    seen = []
+    for n in (1, 3, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            seen.append({r["page_id"]: r["text"] for r in extract_main_text(pages_of(spark, rows)).collect()})
+        finally:
+            spark.conf.unset("spark.sql.shuffle.partitions")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert seen[0] == seen[1] == seen[2]
+    for i, w in enumerate(["red", "green", "blue"]):
+        assert {seen[0][10 * i + j] for j in range(4)} == {" ".join(f"{w} {k}" for k in range(5))}
+    assert seen[0][100] == "" and seen[0][200].startswith("menu 0") and seen[0][301] == "c 0 c 1 c 2 c 3 c 4"
+
+
 def test_pages_query_against_plain_form(spark):
     import html
     import re

@@ -219,7 +219,45 @@ def _numbered(batches: Iterator[pa.RecordBatch], seen: dict) -> Iterator[pa.Reco
         yield batch
 
 
-def _compare():
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a range that has lines: its first and its last host, and of each the digests of the
+    KEPT different pages that are nearest to that end, outermost first."""
+    seen, first, last = {}, [], []
+    for host, lines, _ in _runs(_numbered(batches, seen)):
+        if lines:
+            page = _Page(host, lines)
+            if not first or host == first[0].host:
+                first = _different([*first, page])
+            last = _different([page, *(p for p in last if p.host == host)])
+    if first:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([seen["range"]], pa.int32()), pa.array([first[0].host], pa.string()), pa.array([last[0].host], pa.string()),
+             *(pa.array([[p.digests() for p in pages]], pa.list_(pa.binary())) for pages in (first, last))],
+            names=["range", "first_host", "last_host", "first", "last"])
+
+
+def carried(edges: list[tuple[int, str, str, list[bytes], list[bytes]]]) -> dict[int, list[tuple[str | None, list[bytes]]]]:
+    """For each range with lines: (host, nearest different pages before the range), and the same after it.
+
+    A range that holds too few different pages, all of one host, passes on those behind it.
+    """
+    def pass_on(seen, host, near, whole):
+        behind = seen[1] if whole and seen[0] == host else []
+        return host, list(dict.fromkeys([*near, *behind]))[:KEPT]
+
+    out: dict[int, list] = {e[0]: [] for e in edges}
+    seen = (None, [])
+    for number, head, tail, _, last in sorted(edges):
+        out[number].append(seen)
+        seen = pass_on(seen, tail, last, head == tail)
+    seen = (None, [])
+    for number, head, tail, first, _ in sorted(edges, reverse=True):
+        out[number].append(seen)
+        seen = pass_on(seen, head, first, head == tail)
+    return out
+
+
+def _compare(shared_edges):
     """Rows come in order of host and path; each run of copies is compared with the nearest different pages of its host."""
 
     def packed(rows: list[tuple], kind) -> pa.RecordBatch:
@@ -234,19 +272,23 @@ def _compare():
         recent: list[_Page] | None = None  # different pages of the host, nearest first
         waiting: list[_Run] = []
 
+        def beyond(side: int, host: str) -> list[_Page]:
+            place, pages = shared_edges.value[seen["range"]][side]
+            return [_Page(host, None, d) for d in pages] if place == host else []
+
         for host, lines, rows in _runs(_numbered(batches, seen)):
             if not lines:
                 out.extend((page, url, "") for page, url, _ in rows)
             else:
                 page = _Page(host, lines)
                 if recent is None:
-                    recent = []
-                elif recent and recent[0].host != host:
+                    recent = beyond(0, host)
+                elif recent[0].host != host:
                     for r in waiting:
                         out.extend(r.texts())
                     recent, waiting = [], []
                 now = _Run(page, rows, recent)
-                if waiting and recent and waiting[-1].page is recent[0]:
+                if waiting and waiting[-1].page is recent[0]:
                     waiting[-1].shared[id(page)], now.shared[id(recent[0])] = recent[0].common(page)
                 still = []
                 for r in waiting:
@@ -260,6 +302,8 @@ def _compare():
                 yield packed(out[:500], seen["kind"])
                 del out[:500]
         for r in waiting:
+            for page in beyond(1, r.page.host):
+                r.follow(page)
             out.extend(r.texts())
         for at in range(0, len(out), 500):
             yield packed(out[at:at + 500], seen["kind"])
@@ -267,6 +311,13 @@ def _compare():
     return run
 
 
+def _as_dealt(df: DataFrame) -> DataFrame:
+    """The frame over its one physical plan: whatever reads it shares the shuffle, and so the ranges and their order."""
+    frame = df._jdf
+    held = df.sparkSession._jsparkSession.internalCreateDataFrame(frame.queryExecution().toRdd(), frame.schema(), False)
+    return DataFrame(held, df.sparkSession)
+
+
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The id and url of each page with text and n_chars (code points).
 
@@ -275,7 +326,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     before it and after it in its host (at the end of a host: the two nearest on one side) by the
     longest common subsequence of their lines. A line that one of the two shares is deleted; a line
     inside an article or main element only if both do. Copies are pages whose whole line
-    lists are equal; a run of them is compared as one page. Pages beyond the edge of a range are not seen.
+    lists are equal; a run of them is compared as one page. The outermost different pages of
+    every range (line digests, one row per range) are carried to the ranges beside it, so the
+    text does not depend on how many ranges there are.
 
     NULL or empty html: empty text. NULL urls form one host. Repeated rows are copies of each
     other and stay. An empty table gives an empty result.
@@ -289,7 +342,10 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                         body.alias("_html"), path.alias("_path"), F.xxhash64(body).alias("_body"))
     kind = pages.schema[id_col].dataType.simpleString()
     order = ["_host", "_path", "_url", "_id", "_body"]
-    return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-            .select("_id", "_url", "_host", "_html", F.spark_partition_id().alias("_range"))
-            .mapInArrow(_compare(), f"_id {kind}, _url string, text string, n_chars long")
+    dealt = _as_dealt(rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                      .select("_id", "_url", "_host", "_html", F.spark_partition_id().alias("_range")))
+    edges = dealt.mapInArrow(_edges, "range int, first_host string, last_host string, first array<binary>, last array<binary>").collect()
+    near = carried([(r[0], r[1], r[2], [bytes(d) for d in r[3]], [bytes(d) for d in r[4]]) for r in edges])
+    shared_edges = pages.sparkSession.sparkContext.broadcast(near)
+    return (dealt.mapInArrow(_compare(shared_edges), f"_id {kind}, _url string, text string, n_chars long")
             .withColumnRenamed("_id", id_col).withColumnRenamed("_url", url_col))
