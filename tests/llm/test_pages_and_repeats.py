@@ -33,6 +33,20 @@ def test_markup():
     assert lines_of("plain &am") == [("plain &am", False)]
 
 
+@pytest.mark.parametrize("wrapper", ["content with-sidebar", "has-header", "no-comments", "elementor-widget", "page-header sidebar"])
+def test_marks_of_wrappers_do_not_empty_a_page(wrapper):
+    page = f"<div class='{wrapper}'><article><p>whole text</article><div id=navBar>no</div></div><div class=sidebar>no</div>"
+    assert lines_of(page) == [("whole text", True)]
+    assert lines_of(f"<div class='{wrapper}'><p>most of the text</div><div class=cookie-notice>no</div>") == [("most of the text", False)]
+    assert lines_of(f"<div class='{wrapper}'><p>one half</div><div class='{wrapper}'><p>the rest</div>") == [("one half", False), ("the rest", False)]
+
+
+def test_marks_without_an_article_still_set_aside():
+    page = "<p>the text of the page<div class='article-comments'>first</div><div class='social share'>on</div><aside><article>x</article></aside>"
+    assert lines_of(page) == [("the text of the page", False)]
+    assert lines_of("<div class=widget>ab</div><div class=sidebar>cd</div><div class=promo>ef</div>") == [("ab", False), ("cd", False), ("ef", False)]
+
+
 def test_common_lines_are_a_longest_subsequence():
     rng = random.Random(1)
     for _ in range(200):

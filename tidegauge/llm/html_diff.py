@@ -26,6 +26,8 @@ ASIDE_MARKS = frozenset((
     "breadcrumb breadcrumbs header masthead footer sidebar aside complementary contentinfo notice notices alert cookie cookies "
     "consent popup modal dialog overlay newsletter subscribe signup comment comments discussion disqus replies respond "
     "share sharing social related recommended pagination pager widget toolbar search login").split())
+#: Words after which a class name only mentions or denies such an element.
+MENTIONS = frozenset("with without has have no not".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kbd mark q s samp small span strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
@@ -33,17 +35,48 @@ MAIN = frozenset(("article", "main"))
 KEPT = 3
 
 
-def _set_aside(name: str, attributes: str) -> bool:
+def _named(name: str, attributes: str) -> bool:
+    """Whether an element holds no main text by its name or because it is hidden."""
     if name in ASIDE:
         return True
     if name in ("body", "html", "article", "main") and "comment" not in attributes.lower():
         return False
-    for _, *values in _MARKS.findall(attributes):
-        if not ASIDE_MARKS.isdisjoint(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values)).lower())):
-            return True
     return "hidden" in attributes.lower().split() or 'aria-hidden="true"' in attributes.lower()
 
 
+def _marks(name: str, attributes: str) -> set[str]:
+    """Words of class, id and role that mark an element; none from a name that denies or only mentions them (no-comments, with-sidebar)."""
+    if name in ("body", "html", "article", "main") and "comment" not in attributes.lower():
+        return set()
+    found: set[str] = set()
+    for _, *values in _MARKS.findall(attributes):
+        for one in "".join(values).split():
+            words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", one).lower())
+            found.update(w for i, w in enumerate(words) if w in ASIDE_MARKS and MENTIONS.isdisjoint(words[:i]))
+    return found
+
+
+def _trusted(pieces: list[tuple[str, tuple[int, ...]]], marked: list[set[str]], whole: set[int]) -> set[int]:
+    """Numbers of the marked elements that are set aside.
+
+    Not those that hold an article or main element (whole) or more than half of the page's text,
+    and none by a word whose elements hold more than half of it. None at all if no text were left.
+    """
+    size = [(len("".join(text.split())), around) for text, around in pieces]
+    total = sum(n for n, _ in size)
+    held: dict[int, int] = defaultdict(int)
+    for n, around in size:
+        for element in around:
+            held[element] += n
+    kept = {e for e in range(len(marked)) if e not in whole and 2 * held[e] <= total}
+    by_word: dict[str, int] = defaultdict(int)
+    for n, around in size:
+        for word in set().union(*(marked[e] for e in around if e in kept)):
+            by_word[word] += n
+    kept = {e for e in kept if any(2 * by_word[w] <= total for w in marked[e])}
+    return kept if any(n and kept.isdisjoint(around) for n, around in size) else set()
+
+
 def lines_of(page: str | None) -> list[tuple[str, bool]]:
     """(text of a block, whether it is in an article or main element), in page order.
 
@@ -52,20 +85,22 @@ def lines_of(page: str | None) -> list[tuple[str, bool]]:
     """
     source = _HIDDEN.sub(" ", page or "")
     source = _CUT_OFF.sub("", source)
-    out: list[tuple[str, bool]] = []
-    held: list[str] = []
-    stack: list[tuple[str, int, int]] = []  # name, elements set aside around it, main elements around it
+    blocks: list[tuple[list[tuple[str, tuple[int, ...]]], bool]] = []
+    held: list[tuple[str, tuple[int, ...]]] = []  # text and the marked elements around it
+    stack: list[tuple[str, int, int, tuple[int, ...]]] = []  # name, elements set aside by name around it, main elements, marked elements
+    marked: list[set[str]] = []
+    whole: set[int] = set()
 
     def close() -> None:
-        if text := " ".join(html.unescape("".join(held)).split()):
-            out.append((text, bool(stack and stack[-1][2])))
-        held.clear()
+        if held:
+            blocks.append((held.copy(), bool(stack and stack[-1][2])))
+            held.clear()
 
     at = 0
     for tag in _TAG.finditer(source):
-        aside, main = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
-        if not aside:
-            held.append(source[at:tag.start()])
+        aside, main, around = stack[-1][1:] if stack else (0, 0, ())
+        if not aside and at < tag.start():
+            held.append((source[at:tag.start()], around))
         at = tag.end()
         name = tag[2].lower()
         if name not in INLINE:
@@ -77,11 +112,23 @@ def lines_of(page: str | None) -> list[tuple[str, bool]]:
         elif name not in VOID and not tag[3].endswith("/"):
             if name in ("p", "li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == name:
                 stack.pop()
-                aside, main = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
-            stack.append((name, aside + _set_aside(name, tag[3]), main + (name in MAIN)))
-    if not (stack and stack[-1][1]):
-        held.append(source[at:])
+                aside, main, around = stack[-1][1:] if stack else (0, 0, ())
+            words = _marks(name, tag[3])
+            aside += _named(name, tag[3])
+            if name in MAIN and not aside and not words:
+                whole.update(around)
+            if words:
+                around = (*around, len(marked))
+                marked.append(words)
+            stack.append((name, aside, main + (name in MAIN), around))
+    if not (stack and stack[-1][1]) and at < len(source):
+        held.append((source[at:], stack[-1][3] if stack else ()))
     close()
+    gone = _trusted([p for pieces, _ in blocks for p in pieces], marked, whole) if marked else set()
+    out = []
+    for pieces, main in blocks:
+        if text := " ".join(html.unescape("".join(t for t, around in pieces if gone.isdisjoint(around))).split()):
+            out.append((text, main))
     return out
 
 
