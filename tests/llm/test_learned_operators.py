@@ -118,6 +118,15 @@ def test_score_is_that_of_the_most_toxic_window():
     assert np.isclose(net.score([text])[0], max(alone), atol=1e-5)
 
 
+def test_every_offset_is_scored():
+    net = Network(3)
+    net.p["out"] *= 3
+    texts = [[b"w%d" % (i * i * n % 47) for i in range(n)] for n in (0, 1, 24, 25, 26, 77, 0, 300)]
+    want = [max(net.score([t[i:i + 24]])[0] for i in range(max(1, len(t) - 23))) for t in texts]
+    assert np.allclose(net.score_all(texts, block=37), want, atol=1e-5)
+    assert net.score_all(texts).max() > net.score(texts).max() or (net.score_all(texts) > net.score(texts) + 1e-4).any()
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((4, 8)) * 5

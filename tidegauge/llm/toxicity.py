@@ -1,9 +1,9 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 Words enter as a hashed word vector beside the mean of their hashed character trigram
-vectors. The network reads every window of WINDOW words (one begins every STRIDE words, so
-windows overlap), pools its states by attention and gives a logit; a text's score is that of
-its most toxic window.
+vectors. The network reads windows of WINDOW words, pools its states by attention and gives a
+logit; a text's score is that of its most toxic window. In training a window begins every
+STRIDE words, in scoring at every word.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ class Vocabulary:
 
 
 def windows_of(count: int) -> np.ndarray:
-    """First words of the windows of a text: all overlapping windows, the last one reaching the end."""
+    """First words of the windows that training reads: one every STRIDE words, the last one reaching the end."""
     return np.arange(0, max(1, count - (WINDOW - STRIDE)), STRIDE)
 
 
@@ -99,6 +99,7 @@ class Network:
         for side in "fb":
             self.p |= {f"w{side}": draw(d, 3 * h), f"u{side}": draw(h, 3 * h), f"c{side}": np.zeros(3 * h, np.float32)}
         self.shift = 0.0
+        self.rise = 0.0  # by which the logits of score_all lie above those of score, on average
 
     def inputs(self, v: Vocabulary) -> np.ndarray:
         """Input vector of each distinct word; row 0 is the empty place."""
@@ -172,8 +173,68 @@ class Network:
             g["x"] += d_table @ w.T
         return g
 
+    def _pooled(self, side: str, table: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For n windows that begin at one word after the other and each place in them: attention and output of one
+        direction's state. table has the inputs of the words, words in columns; a place of all windows is a slice of it."""
+        h, u = HIDDEN, self.p[f"u{side}"].T
+        gates, fresh = np.ascontiguousarray(u[:2 * h] * np.float32(0.5)), np.ascontiguousarray(u[2 * h:])
+        part = slice(0, h) if side == "f" else slice(h, 2 * h)
+        read = np.ascontiguousarray(np.concatenate([self.p["attend"][part], self.p["out"][part]], axis=1).T)
+        state = np.zeros((h, n), np.float32)
+        out = np.empty((WINDOW, 2, n), np.float32)
+        for t in range(WINDOW) if side == "f" else range(WINDOW - 1, -1, -1):
+            zr = gates @ state
+            zr += table[:2 * h, t:t + n]
+            np.tanh(zr, out=zr)  # the sigmoid of twice the sum is (1 + tanh of the sum) / 2
+            zr += 1
+            zr *= np.float32(0.5)
+            new = fresh @ (zr[h:] * state)
+            new += table[2 * h:, t:t + n]
+            np.tanh(new, out=new)
+            new -= state
+            new *= zr[:h]
+            state += new
+            out[t] = read @ state
+        return out[:, 0], out[:, 1]
+
+    def score_all(self, texts: list[list[bytes]], block: int = 2048) -> np.ndarray:
+        """Probability of each text: that of its most toxic window, a full window beginning at every word.
+
+        A text of at most WINDOW words is one window.
+        """
+        words, flat, count = _numbered(texts)
+        x = self.inputs(Vocabulary.of(words))
+        begin = np.cumsum(count) - count
+        best = np.full(len(texts), -np.inf)
+        short = np.flatnonzero(count <= WINDOW)
+        padded = np.concatenate([flat, np.zeros(WINDOW, np.int64)])
+        for at in range(0, len(short), 8192):
+            some = short[at:at + 8192]
+            mask = np.arange(WINDOW) < count[some, None]
+            best[some] = self.forward(x, np.where(mask, padded[begin[some, None] + np.arange(WINDOW)], 0), mask)[0]
+        long = count > WINDOW
+        if long.any():
+            words_in = np.repeat(long, count)
+            ids, owner = flat[words_in], np.repeat(np.arange(len(texts)), count)[words_in]
+            side = {}
+            for k in "fb":
+                side[k] = x @ self.p[f"w{k}"] + self.p[f"c{k}"]
+                side[k][:, :2 * HIDDEN] *= np.float32(0.5)
+            last = len(ids) - WINDOW  # windows over the edge of two texts are computed and passed over
+            for at in range(0, last + 1, block):
+                n = min(block, last + 1 - at)
+                near = ids[at:at + n + WINDOW - 1]
+                f, b = (self._pooled(k, np.ascontiguousarray(side[k][near].T), n) for k in "fb")
+                weight = f[0] + b[0]
+                weight = np.exp(weight - weight.max(axis=0))
+                logit = (weight * (f[1] + b[1])).sum(axis=0) / weight.sum(axis=0) + self.p["bias"][0]
+                first = owner[at:at + n]
+                own = first == owner[at + WINDOW - 1:at + WINDOW - 1 + n]
+                np.maximum.at(best, first[own], logit[own])
+        return _sigmoid(best + self.shift - self.rise)
+
     def score(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Probability of each text: that of its most toxic window."""
+        """Like score_all, over the windows that training reads."""
         words, flat, count = _numbered(texts)
         x = self.inputs(Vocabulary.of(words))
         first, size, owner = _lanes(count)
@@ -258,10 +319,21 @@ def train(texts: list[str], y: np.ndarray, prior: float, epochs: int = 6, seed:
             for k, grad in g.items():
                 _adam(net.p[k], first_moment[k], second_moment[k], grad, speed, step)
     share = float(y.mean())
+    net.rise = _rise(net, cut, y, rate)
     net.shift = float(np.log(rate / (1 - rate)) - np.log(share / (1 - share)))
     return net
 
 
+def _rise(net: Network, texts: list[list[bytes]], y: np.ndarray, rate: float) -> float:
+    """Mean growth of the logit when a maximum is over all windows and not only those of training; classes weighed by rate."""
+    grown = []
+    for at in range(0, len(texts), 100):
+        low, high = (np.clip(f(texts[at:at + 100]), 1e-9, 1 - 1e-9) for f in (net.score, net.score_all))
+        grown.append(np.log(high / (1 - high)) - np.log(low / (1 - low)))
+    grown = np.concatenate(grown)
+    return float(rate * grown[y > 0.5].mean() + (1 - rate) * grown[y <= 0.5].mean())
+
+
 def _adam(p, m, s, grad, speed, step, rows=slice(None)) -> None:
     m[rows] = 0.9 * m[rows] + 0.1 * grad
     s[rows] = 0.999 * s[rows] + 0.001 * grad * grad
@@ -295,7 +367,7 @@ def _score(shared, where: int):
                 held += 8 * len(group[-1])
                 if held >= BATCH_BYTES or i + 1 == batch.num_rows:
                     part = batch.slice(begin, len(group))
-                    score = shared.value.score(group)
+                    score = shared.value.score_all(group)
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, "score"])
                     begin, held, group = i + 1, 0, []
 
