@@ -67,6 +67,11 @@ def test_wide_join_drops_dates_off_the_spine(spark):
     assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
+def test_wide_join_keeps_values_without_a_time(spark):
+    series = {"a": spark.createDataFrame([("d1", None, 1.0), ("d2", None, 9.0), ("d2", 5, 2.0)], "date string, unix_ts long, value double")}
+    assert rows(keyed.wide_by_date(series, ["a"]), "date") == [("d1", None, 1.0), ("d2", 5, 2.0)]
+
+
 def test_later_duplicate_wins_when_aligned(spark):
     df = spark.createDataFrame([("d", 1.0, 0), ("d", 2.0, 1)], "date string, value double, ord int")
     assert rows(keyed.align_by_date({"a": df}), "date") == [("d", 2.0)]

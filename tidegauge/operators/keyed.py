@@ -90,7 +90,8 @@ def wide_by_date(metrics: dict[str, DataFrame], spine: list[str], full_spine: bo
 
     One shuffle: the series are stacked and aggregated per date, instead of a
     chain of joins.  unix_ts falls back over the first three series.  Of several rows
-    of a series on one date the one with the greatest unix_ts counts.
+    of a series on one date the one with the greatest unix_ts counts, of those without a time
+    the one with the greatest value, and only if no other has a time.
     """
     stacked = reduce(DataFrame.unionByName, [
         df.select("date", "unix_ts", F.col("value").cast("double"), F.lit(name).alias("metric"))
@@ -98,10 +99,11 @@ def wide_by_date(metrics: dict[str, DataFrame], spine: list[str], full_spine: bo
     ]).filter(F.col("date").isNotNull())
     names = list(metrics)
     is_ = lambda name: F.col("metric") == name
+    newest = F.struct(F.col("unix_ts").isNotNull().alias("dated"), "unix_ts", "value")
     out = stacked.groupBy("date").agg(
         *(F.max(F.when(is_(n), F.col("unix_ts"))).alias(f"_ts_{i}") for i, n in enumerate(names[:3])),
         F.max(F.col("metric").isin(spine)).alias("_on_spine"),
-        *(F.max_by(F.when(is_(n), F.col("value")), F.when(is_(n), F.col("unix_ts"))).alias(n) for n in names),
+        *(F.max_by(F.when(is_(n), F.col("value")), F.when(is_(n), newest)).alias(n) for n in names),
     )
     if not full_spine:
         out = out.filter("_on_spine")
