@@ -172,13 +172,15 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def score_quality(docs: DataFrame, rules: Rules, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Adds score (0 to 1) and predicted (1 if score >= threshold).
 
-    No shuffle, two narrow steps. The statistics pass through a one-element explode: a filter
-    on the prediction would otherwise be pushed below them and count them anew in every rule.
+    No shuffle, narrow steps. A projection counts the statistics, where the words that they share
+    are split once; above it they pass through a one-element explode, as a filter on the
+    prediction would otherwise be pushed below them and count them anew in every rule.
     NULL and empty texts get the score of their statistics (all 0). Rows are kept as they are;
     columns named score or predicted are replaced.
     """
     rows = packed(docs)
     stats = statistics(F.col(ROW).getField(text_col))
-    seen = rows.select(ROW, F.explode(F.array(F.struct(*[c.alias(n) for n, c in stats.items()]))).alias("_st"))
+    counted = rows.select(ROW, F.struct(*[c.alias(n) for n, c in stats.items()]).alias("_counted"))
+    seen = counted.select(ROW, F.explode(F.array("_counted")).alias("_st"))
     scored = seen.select(ROW, rules.column({n: F.col("_st").getField(n) for n in stats}).alias("_s"))
     return unpacked(scored, docs.columns, {"score": F.col("_s"), "predicted": (F.col("_s") >= threshold).cast("int")})
