@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.llm.centroids import cluster
 from tidegauge.llm.decontaminate import contaminated, find_items
 from tidegauge.llm.html_diff import extract_main_text
 from tidegauge.llm.learned_index import nearest
+from tidegauge.llm.license_scan import BASE, RARE, SLACK, TEMPLATES, license_scan, words_of
 from tidegauge.llm.line_dedup import line_dedup
 from tidegauge.llm.mixing import mix
 from tidegauge.llm.quality import held_out, score_quality, train_quality
@@ -17,6 +19,7 @@ from tidegauge.llm.repeats import remove_repeats
 from tidegauge.llm.simhash import simhash_classes
 from tidegauge.llm.token_files import read_token_files, write_token_files
 from tidegauge.llm.toxicity import score_toxicity, train_toxicity
+from tidegauge.llm.whitening import whiten
 from tidegauge.session import scratch_path, ship_package, table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -96,6 +99,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = F.col("places")
+    return license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.get(places, F.lit(0)).alias("first_word"),
+        F.get(places, F.size(places) - 1).alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    per = F.arrays_zip("whitened", "explained")
+    return out.select("vec_id", "n", "deviation", "identity_error", F.posexplode(per).alias("at", "c")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out = cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,6 +139,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8,
     "op9_repeats": op9,
     "op10_nearest": op10,
+    "op11_licenses": op11,
+    "op12_whitening": op12,
+    "op13_centroids": op13,
     "pipeline": pipeline,
 }
 
@@ -163,3 +192,93 @@ best AS (
 SELECT doc_id, size, source_size, target, taken::BIGINT AS taken
 FROM draws JOIN best ON draws.source IS NOT DISTINCT FROM best.source AND draws.k = best.k
 """
+
+
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+
+def _license_sql() -> str:
+    postings = [(t, at, w) for t, one in enumerate(TEMPLATES) for at, w in enumerate(one.words)]
+    phrases = [(t, ph, at, k, w, len(p)) for t, one in enumerate(TEMPLATES) for ph, (p, at) in enumerate(one.starts) for k, w in enumerate(p)]
+    names = [(t, one.label, len(one.words), len(one.phrases)) for t, one in enumerate(TEMPLATES)]
+    base = [(b, label, k, w, len(words_of(p))) for b, (p, label) in enumerate(BASE.items()) for k, w in enumerate(words_of(p))]
+    return rf"""
+WITH posting(t, i, w) AS (VALUES {_values(postings)}),
+phrase(t, ph, start, k, w, len) AS (VALUES {_values(phrases)}),
+template(t, label, size, n_phrases) AS (VALUES {_values(names)}),
+base(b, label, k, w, len) AS (VALUES {_values(base)}),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+word AS (
+  SELECT * FROM (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM docs)
+  WHERE w IN (SELECT w FROM posting UNION ALL SELECT w FROM base)),
+df AS (SELECT w, count(DISTINCT r) AS n FROM word GROUP BY w),
+held AS (SELECT DISTINCT r, t, w FROM word JOIN posting USING (w)),
+must AS (SELECT DISTINCT t, w FROM phrase),
+open AS (
+  SELECT r, t FROM held JOIN must USING (t, w) JOIN (SELECT t, count(*) AS m FROM must GROUP BY t) USING (t)
+  GROUP BY r, t, m HAVING count(*) = m),
+chosen AS (
+  SELECT r, t, w FROM held JOIN open USING (r, t) JOIN df USING (w)
+  QUALIFY row_number() OVER (PARTITION BY r, t ORDER BY n, w) <= {RARE}),
+need AS (SELECT r, t, greatest(2, ceil(count(*) / 2)) AS need FROM chosen JOIN posting USING (t, w) GROUP BY r, t),
+vote AS (SELECT r, t, p - i AS o, count(*) AS v FROM chosen JOIN posting USING (t, w) JOIN word USING (r, w) GROUP BY ALL),
+agreed AS (SELECT r, t, o FROM vote JOIN need USING (r, t) WHERE v >= need),
+stands AS (
+  SELECT a.r, a.t, a.o, ph FROM agreed a JOIN phrase f ON f.t = a.t JOIN word x ON x.r = a.r AND x.w = f.w
+  WHERE abs(x.p - f.k - (a.o + f.start)) <= {SLACK} GROUP BY a.r, a.t, a.o, ph, len, x.p - f.k HAVING count(*) = len),
+verified AS (
+  SELECT r, t, o FROM stands JOIN template USING (t) GROUP BY r, t, o, n_phrases HAVING count(DISTINCT ph) = n_phrases),
+share AS (
+  SELECT v.r, v.t, v.o, count(x.p)::DOUBLE / any_value(size)::DOUBLE AS share
+  FROM verified v JOIN template USING (t) JOIN posting q ON q.t = v.t LEFT JOIN word x ON x.r = v.r AND x.p = v.o + q.i AND x.w = q.w
+  GROUP BY v.r, v.t, v.o),
+place AS (
+  SELECT r, b, label, p - k AS s FROM word JOIN base USING (w) GROUP BY r, b, label, len, p - k HAVING count(*) = len),
+places AS (
+  SELECT r, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM place GROUP BY r),
+named AS (SELECT r, label FROM place UNION SELECT r, label FROM share JOIN template USING (t)),
+labelled AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM named GROUP BY r),
+best AS (SELECT r, max(share) AS score FROM share GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM docs LEFT JOIN places USING (r) LEFT JOIN labelled USING (r) LEFT JOIN best USING (r)
+"""
+
+
+ORACLES["op11_licenses"] = _license_sql()
+
+
+def _centroid_sql(rounds: int = 5) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+away{k} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT kept.r, c, list_sum(list_transform(range(1, 65), lambda i: (kept.v[i] - at{k}.v[i]) * (kept.v[i] - at{k}.v[i])))::BIGINT AS d
+    FROM kept, at{k}) GROUP BY r)""")
+        if k < rounds:
+            steps.append(f"""
+mean{k} AS (
+  SELECT c, list(((s - ((s % n) + n) % n) // n) ORDER BY i) AS v FROM (
+    SELECT c, i, sum(v[i])::BIGINT AS s, count(*)::BIGINT AS n FROM away{k} JOIN kept USING (r), range(1, 65) AS dim(i) GROUP BY c, i) GROUP BY c),
+at{k + 1} AS MATERIALIZED (SELECT c, coalesce(mean{k}.v, at{k}.v) AS v FROM at{k} LEFT JOIN mean{k} USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+at0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS c, v FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept)
+  QUALIFY row_number() OVER (ORDER BY h NULLS LAST, v) <= 40),{",".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(at{rounds}.v, ',')) AS centroid_sha256
+FROM away{rounds} JOIN kept USING (r) JOIN at{rounds} USING (c)
+"""
+
+
+ORACLES["op13_centroids"] = _centroid_sql()
