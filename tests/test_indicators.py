@@ -7,10 +7,11 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidegauge.operators import recursive as rec
 from tidegauge.plans.indicators import INDICATORS, indicators
-from tidegauge.streaming.incremental import first_run, next_run
+from tidegauge.streaming.incremental import IndicatorStore, first_run, next_run, restart_points
 
 
 def make_bars(spark, rows: int, symbols=("a", "b"), seed=1):
@@ -287,3 +288,34 @@ def test_states_forget_where_a_series_started():
         x.update(rec.run_network(rec.NETWORK, x, None))
         ends.append([v for run, _, _ in rec.SYSTEMS.values() for v in run(x, 0, None)[1]])
     np.testing.assert_allclose(ends[0], ends[1], rtol=1e-9, atol=1e-9)
+
+
+def test_many_new_bars_are_cut_into_segments(spark):
+    bars = make_bars(spark, 3000, ("a",)).cache()
+    columns = ["ema_50", "kama_20", "sar", "adx_14", "mama", "sma_200"]
+    full = table(indicators(bars, columns))
+    at = 1_700_000_000 + 3600 * 1000
+    rows, progress = first_run(bars.filter(f"unix_timestamp < {at}"), columns)
+    second, _ = next_run(progress, bars.filter(f"unix_timestamp >= {at}"), columns, rows_per_segment=832)
+    assert_same(full, table(rows.unionByName(second)), columns)
+
+
+def test_late_bars_at_any_depth_equal_a_full_run(spark, tmp_path):
+    """Bars 5,000 rows back, corrected ones, new ones, and a symbol that only comes with the delivery."""
+    bars = make_bars(spark, 7000, ("a",)).unionByName(make_bars(spark, 1200, ("b",), 2)).unionByName(
+        make_bars(spark, 900, ("c",), 3).withColumn("unix_timestamp", F.col("unix_timestamp") + 3600 * 3000)).cache()
+    columns = ["ema_50", "kama_20", "sar", "adx_14", "ht_dcperiod", "obv", "sma_200", "volatility_30d"]
+    at = lambda n: 1_700_000_000 + 3600 * n
+    late = f"(symbol = 'a' AND (unix_timestamp BETWEEN {at(1900)} AND {at(1905)} OR unix_timestamp >= {at(6990)})) OR symbol = 'c'"
+    store = IndicatorStore(spark, str(tmp_path / "store"), tuple(columns), 1000)
+    store.create(bars.filter(f"NOT ({late})"))
+    assert store.log(1).filter("symbol = 'a'").count() >= 6
+    got = store.deliver(bars.filter(late))
+    assert_same(table(indicators(bars, columns)), table(got), columns)
+    points = restart_points(store.log(1), bars.filter(late)).collect()
+    assert {r["symbol"]: r["until"] is not None and r["until"] < at(1900) for r in points} == {"a": True, "c": False}
+    # only the months from the late bars on were written again
+    (old, _), (new, _) = store.rows._list(1), store.rows.holders()
+    assert old["2023-11"] == 1 == new["2023-11"] and new[max(new)] == 2
+    again = store.deliver(bars.filter(late))
+    assert_same(table(indicators(bars, columns)), table(again), columns)

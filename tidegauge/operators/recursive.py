@@ -633,11 +633,14 @@ def summarise(plan: Plan, pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def compose(plan: Plan, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Starting state of every later segment of one symbol."""
+def compose(plan: Plan, symbol: str, pdf: pd.DataFrame, known: np.ndarray | None = None) -> pd.DataFrame:
+    """Starting state of every later segment of one symbol; ``known`` is that of segment 1
+    where the series does not begin in these rows."""
     matrix = transfer_matrix(plan.nodes, plan.rows_per_segment)
     pdf = pdf.sort_values("_seg")
-    state, rows = None, []
+    state, rows = known, []
+    if known is not None:
+        rows.append((1, known.tolist()))
     for seg, zero, decay in zip(pdf["_seg"], pdf["zero"], pdf["kama_decay"]):
         zero = np.asarray(zero, dtype=float)
         if state is None:
@@ -645,9 +648,7 @@ def compose(plan: Plan, pdf: pd.DataFrame) -> pd.DataFrame:
         else:
             state = np.append(matrix @ state[:-1], decay * state[-1]) + zero
         rows.append((seg + 1, state.tolist()))
-    return pd.DataFrame(
-        {"symbol": pdf["symbol"].iloc[0], "_seg": [r[0] for r in rows], "carry": [r[1] for r in rows]}
-    )
+    return pd.DataFrame({"symbol": [symbol] * len(rows), "_seg": [r[0] for r in rows], "carry": [r[1] for r in rows]})
 
 
 def end_state(plan: Plan, pdf: pd.DataFrame, carry, state) -> pd.DataFrame:
@@ -710,22 +711,24 @@ def add_recursive(slices: Segmented, wanted: list[str], starts: DataFrame | None
     )
 
 
-def starting_states(plan: Plan, df: DataFrame) -> DataFrame:
-    """(symbol, _seg, carry, state) of every later segment."""
-    carry = _carries(plan, df)
-    state = _states(plan, df, carry)
+def starting_states(plan: Plan, df: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(symbol, _seg, carry, state) of every later segment; ``known`` holds (symbol, carry,
+    state) of the symbols whose segment 1 continues earlier bars."""
+    carry = _carries(plan, df, known)
+    state = _states(plan, df, carry, known)
     if state is None:
         return carry.withColumn("state", F.array().cast("array<double>"))
     return carry.join(state, KEY)
 
 
-CLOSING = "symbol string, _seg long, carry array<double>, state array<double>"
+CLOSING = "symbol string, _seg long, since long, until long, carry array<double>, state array<double>"
 
 
 def closing(plan: Plan, pdf: pd.DataFrame, carry=None, state=None) -> pd.DataFrame:
-    """States from which bars after this slice continue; none for short series."""
+    """States from which bars after this slice continue, the time of its last bar, and of
+    the first of the HALO bars that such a run reads again; none for short series."""
     if pdf["_halo"].all() or len(pdf) < (TAIL if pdf["_seg"].iloc[0] == 0 else HALO):
-        return _empty("symbol", "_seg", "carry", "state")
+        return _empty("symbol", "_seg", "since", "until", "carry", "state")
     pdf, x, seg = _slice_inputs(pdf)
     _with_network(plan, x, seg, carry)
     at = len(pdf) - FRAME_ROWS - 1
@@ -734,13 +737,20 @@ def closing(plan: Plan, pdf: pd.DataFrame, carry=None, state=None) -> pd.DataFra
     for i, name in enumerate(plan.systems):
         begin, known = (0, None) if seg == 0 else (STATE_AT, _split_state(plan, state)[i])
         ends += SYSTEMS[name][0](upto, begin, known)[1]
-    return pd.DataFrame(
-        {"symbol": [pdf["symbol"].iloc[0]], "_seg": [seg], "carry": [linear], "state": [ends]}
-    )
+    times = pdf["unix_timestamp"]
+    return pd.DataFrame({
+        "symbol": [pdf["symbol"].iloc[0]], "_seg": [seg], "since": [int(times.iloc[len(pdf) - HALO])],
+        "until": [int(times.iloc[-1])], "carry": [linear], "state": [ends]})
 
 
 def closing_states(slices: Segmented, wanted: list[str], starts: DataFrame | None = None) -> DataFrame:
     """(symbol, carry, state) at the end of every symbol long enough to resume."""
+    return segment_ends(slices, wanted, starts).groupBy("symbol").agg(
+        F.max_by(F.struct("carry", "state"), "_seg").alias("_s")).select("symbol", "_s.carry", "_s.state")
+
+
+def segment_ends(slices: Segmented, wanted: list[str], starts: DataFrame | None = None) -> DataFrame:
+    """(symbol, _seg, since, until, carry, state) from which the bars behind each segment continue."""
     plan = Plan.of(wanted, slices.rows_per_segment)
     df = slices.df.select(*PASSED)
     if not slices.split:
@@ -752,13 +762,11 @@ def closing_states(slices: Segmented, wanted: list[str], starts: DataFrame | Non
 
         def body(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty:
-                return _empty("symbol", "_seg", "carry", "state")
+                return _empty("symbol", "_seg", "since", "until", "carry", "state")
             return closing(plan, left, _only(right, "carry"), _only(right, "state"))
 
         out = df.groupBy(*KEY).cogroup(starts.groupBy(*KEY)).applyInPandas(body, CLOSING)
-    return out.groupBy("symbol").agg(F.max_by(F.struct("carry", "state"), "_seg").alias("_s")).select(
-        "symbol", "_s.carry", "_s.state"
-    )
+    return out
 
 
 def _only(pdf: pd.DataFrame, column: str):
@@ -768,19 +776,23 @@ def _only(pdf: pd.DataFrame, column: str):
     return None if value is None else np.asarray(value, dtype=float)
 
 
-def _carries(plan: Plan, df: DataFrame) -> DataFrame:
+def _carries(plan: Plan, df: DataFrame, known: DataFrame | None = None) -> DataFrame:
     zero = df.groupBy(*KEY).applyInPandas(
         lambda pdf: summarise(plan, pdf),
         "symbol string, _seg long, zero array<double>, kama_decay double",
     )
     # one row per segment: the key (symbol, second) bounds it by the calendar
-    carry = zero.groupBy("symbol").applyInPandas(
-        lambda pdf: compose(plan, pdf), "symbol string, _seg long, carry array<double>"
-    )
-    return cut_lineage(carry)
+    schema = "symbol string, _seg long, carry array<double>"
+    if known is None:
+        return cut_lineage(zero.groupBy("symbol").applyInPandas(lambda pdf: compose(plan, pdf["symbol"].iloc[0], pdf), schema))
+
+    def body(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return compose(plan, (right if left.empty else left)["symbol"].iloc[0], left, _only(right, "carry"))
+
+    return cut_lineage(zero.groupBy("symbol").cogroup(known.select("symbol", "carry").groupBy("symbol")).applyInPandas(body, schema))
 
 
-def _states(plan: Plan, df: DataFrame, carry: DataFrame) -> DataFrame | None:
+def _states(plan: Plan, df: DataFrame, carry: DataFrame, known: DataFrame | None = None) -> DataFrame | None:
     """Verified starting state per later segment; reruns segments that guessed wrong."""
     if not plan.systems:
         return None
@@ -792,7 +804,11 @@ def _states(plan: Plan, df: DataFrame, carry: DataFrame) -> DataFrame | None:
             return end_state(plan, left, _only(right, "carry"), _only(right, "state"))
         return rows.groupBy(*KEY).cogroup(start.groupBy(*KEY)).applyInPandas(body, STATES)
 
-    known = cut_lineage(run(df, carry))
+    start = carry
+    if known is not None:
+        first = known.select("symbol", F.lit(1).cast("long").alias("_seg"), "state")
+        start = carry.join(first, KEY, "left")
+    known = cut_lineage(run(df, start))
     while True:
         ends = known.select("symbol", (F.col("_seg") + 1).alias("_seg"), F.col("end").alias("state"))
         differs = F.exists(

@@ -101,26 +101,30 @@ def segment(bars: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> Segmen
     return Segmented(df, True, rows_per_segment)
 
 
-def resume(tail: DataFrame, new: DataFrame, states: DataFrame) -> Segmented:
-    """New bars behind the rows kept of earlier ones.
+def resume(tail: DataFrame, new: DataFrame, states: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> Segmented:
+    """New bars behind the rows kept of earlier ones, in as many segments as they fill.
 
-    A symbol with a known state continues as a later segment behind its last
-    HALO rows; any other symbol is short, so its tail is its whole history.
+    A symbol with a known state continues as segment 1 behind its last HALO rows; any other
+    symbol is short, so its tail is its whole history and begins segment 0, of which its rows
+    are part.  Rows are numbered as in :func:`segment`, so no task sees all new rows of a symbol.
     """
+    if rows_per_segment < FRAME_ROWS + SEED_ROWS:
+        raise ValueError(f"rows_per_segment must be at least {FRAME_ROWS + SEED_ROWS}")
+    columns = new.columns
+    known = states.select("symbol", F.lit(1).cast("long").alias("_first"))
+    placed = tail.select(*columns).withColumn("_old", F.lit(True)).unionByName(
+        new.withColumn("_old", F.lit(False))).join(known, "symbol", "left").withColumn("_first", F.coalesce("_first", F.lit(0).cast("long")))
     newest = Window.partitionBy("symbol").orderBy(F.col("unix_timestamp").desc())
-    known = states.select("symbol", F.lit(1).cast("long").alias("_seg"))
-    kept = (
-        tail.withColumn("_age", F.row_number().over(newest)).withColumn("_halo", F.lit(True))
-        .unionByName(new.withColumn("_age", F.lit(0)).withColumn("_halo", F.lit(False)))
-        .join(known, "symbol", "left")
-        .withColumn("_seg", F.coalesce("_seg", F.lit(0).cast("long")))
-        .filter((F.col("_seg") == 0) | (F.col("_age") <= HALO))
-        .drop("_age")
-    )
-    order = Window.partitionBy("symbol", "_seg").orderBy("unix_timestamp")
-    return Segmented(
-        kept.withColumn("_li", (F.row_number().over(order) - 1).cast("long")), True, ROWS_PER_SEGMENT
-    )
+    before = placed.filter(F.col("_old") & (F.col("_first") == 1)).withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= HALO)
+    halo = before.select(*columns, F.col("_first").alias("_seg"), F.lit(True).alias("_halo"), (F.lit(HALO) - F.col("_age")).cast("long").alias("_li"))
+    size = F.lit(rows_per_segment).cast("long")
+    rows = number_rows(placed.filter(~F.col("_old") | (F.col("_first") == 0)))
+    own, inside = F.floor(F.col("_rn") / size), F.pmod(F.col("_rn"), size)
+    rows = rows.withColumn("_own", own + F.col("_first")).withColumn(
+        "_seg", F.explode(F.when(inside >= size - HALO, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array("_own"))))
+    start = F.col("_rn") - (F.col("_seg") - F.col("_first")) * size + F.when(F.col("_seg") > 0, F.lit(HALO)).otherwise(F.lit(0))
+    rows = rows.select(*columns, "_seg", (F.col("_seg") != F.col("_own")).alias("_halo"), start.cast("long").alias("_li"))
+    return Segmented(halo.unionByName(rows), True, rows_per_segment)
 
 
 def drop_halo(df: DataFrame) -> DataFrame:

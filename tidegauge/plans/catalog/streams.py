@@ -100,6 +100,21 @@ def _overlapping(spark, sf_dir):
     )
 
 
+@query("R05_late_delivery", _DELTA_SQL)
+def _late(spark, sf_dir):
+    """Stored are the bars before the cut but for two days at the beginning; the delivery brings these, corrected
+    closes half-way and the bars after the cut.  Each symbol restarts behind the last completed segment before."""
+    bars = fixtures.event_bars(spark, sf_dir, 30)
+    t = F.col("unix_timestamp")
+    start = _CUT - 26 * 86_400
+    missing = (t >= start + 20 * 86_400) & (t < start + 22 * 86_400)
+    wrong = (t >= start + 23 * 86_400) & (t < start + 24 * 86_400)
+    store = inc.IndicatorStore(spark, scratch_path(spark, "indicators"), tuple(_DELTA), 900)
+    store.create(bars.filter((t < _CUT) & ~missing).withColumn("close", F.when(wrong, F.col("close") * 1.01).otherwise(F.col("close"))))
+    table = store.deliver(bars.filter((t >= _CUT) | missing | wrong))
+    return table.select("symbol", t.alias("t"), *(fixed(F.col(c)).alias(c) for c in _DELTA))
+
+
 @query("R05_segmented_series", f"""{bars_sql(30)}{listed(
     [("g", wilder("gain", 14)), ("l0", wilder("loss", 14)), *_ADX],
     {"ema_50": padded(ema("c", 50), 49), "adx_14": padded("adx", 27), "rsi_14": padded(pairwise("g", "l0", RSI), 14)})}

@@ -99,6 +99,9 @@ class SnapshotTable:
         self._placed(df).hint("rebalance", F.col(PART)).write.mode("overwrite").partitionBy(PART).parquet(folder)
         return folder
 
+    def holders(self) -> tuple[dict[str, int], StructType]:
+        return self._list(self._newest())
+
     def read(self, version: int | None = None, parts: list[str] | None = None) -> DataFrame:
         """The table's rows, or those of some partitions, as of a version."""
         holders, columns = self._list(version or self._newest())

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,12 +13,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.functions.labels import Scorer, index_label, index_value, lexicon_score
 from tidegauge.operators.keyed import latest_rows, upsert
 from tidegauge.operators.frames import BASE, add_frames, inputs_of
-from tidegauge.operators.recursive import OUTPUTS, add_recursive, closing_states
-from tidegauge.operators.segments import (
-    ROWS_PER_SEGMENT, TAIL, drop_halo, longest_series, resume, segment,
+from tidegauge.operators.recursive import (
+    OUTPUTS, PASSED, Plan, add_recursive, closing_states, segment_ends, starting_states,
 )
+from tidegauge.operators.segments import ROWS_PER_SEGMENT, TAIL, Segmented, drop_halo, resume, segment
 from tidegauge.plans.fear_greed import _counts, score_news
 from tidegauge.plans.indicators import indicators
+from tidegauge.session import cut_lineage
+from tidegauge.sources.snapshots import SnapshotTable, by_month
 
 NEWS_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("published_on", T.LongType()),
@@ -132,16 +135,37 @@ def first_run(bars: DataFrame, columns: list[str]) -> tuple[DataFrame, Progress]
     return indicators(bars, columns), Progress(tail, recent, states)
 
 
-def next_run(progress: Progress, new: DataFrame, columns: list[str]) -> tuple[DataFrame, Progress]:
+def _continued(tail: DataFrame, rows: DataFrame, states: DataFrame, wanted: list[str], rows_per_segment: int, named: bool = False):
+    """Bars behind kept ones as segments, and the starting state of every later segment
+    (with the inputs' names between the two if ``named``)."""
+    slices = resume(tail, rows, states, rows_per_segment)
+    starts = None
+    if wanted:
+        slices = replace(slices, df=cut_lineage(slices.df))
+        starts = starting_states(Plan.of(wanted, rows_per_segment), slices.df.select(*PASSED), states)
+    return (slices, wanted, starts) if named else (slices, starts)
+
+
+def _published(slices: Segmented, starts: DataFrame | None, columns: list[str], new: DataFrame) -> DataFrame:
+    """Indicator rows from the first new bar of each symbol on."""
+    wanted = recursive_inputs(columns)
+    df = add_recursive(slices, wanted, starts) if wanted else slices.df
+    first = new.groupBy("symbol").agg(F.min("unix_timestamp").alias("_first"))
+    return drop_halo(add_frames(df, columns)).join(first, "symbol").filter(
+        F.col("unix_timestamp") >= F.col("_first")
+    ).select(*[c for c in new.columns if c in BASE], *columns)
+
+
+def next_run(
+    progress: Progress, new: DataFrame, columns: list[str], rows_per_segment: int = ROWS_PER_SEGMENT
+) -> tuple[DataFrame, Progress]:
     """Indicator rows from the first delivered bar of each symbol on, equal to those
     of a full run.
 
-    Delivered bars replace known ones of the same time and may fill gaps between
-    them, up to ``REDO`` bars back; an older one fails the run, as it needs
-    :func:`first_run`.  Reads the new bars and the bounded progress, never the history.
+    Delivered bars, however many, replace known ones of the same time and may fill gaps between
+    them, up to ``REDO`` bars back; an older one fails the run, as it needs the stored bars
+    (:func:`restarted_run`).  Reads the new bars and the bounded progress, never the history.
     """
-    if longest_series(new) > ROWS_PER_SEGMENT:
-        raise ValueError("too many new bars for a delta run; use first_run on all bars")
     key = ["symbol", "unix_timestamp"]
     new = new.select(*progress.tail.columns)
     settled = progress.tail.groupBy("symbol").agg(F.max("unix_timestamp").alias("_settled"))
@@ -150,19 +174,13 @@ def next_run(progress: Progress, new: DataFrame, columns: list[str]) -> tuple[Da
         F.col("unix_timestamp") <= F.col("_settled"), late.cast("long")
     ).otherwise(F.col("unix_timestamp"))).select(*new.columns)
     redone = progress.recent.join(new.select(*key), key, "left_anti").select(*new.columns).unionByName(fresh)
-    starts = progress.states.select("symbol", F.lit(1).cast("long").alias("_seg"), "carry", "state")
     wanted = recursive_inputs(columns)
-
-    slices = resume(progress.tail, redone, progress.states)
-    df = add_recursive(slices, wanted, starts) if wanted else slices.df
-    first = new.groupBy("symbol").agg(F.min("unix_timestamp").alias("_first"))
-    rows = drop_halo(add_frames(df, columns)).join(first, "symbol").filter(
-        F.col("unix_timestamp") >= F.col("_first")
-    ).select(*new.columns, *columns)
+    slices, starts = _continued(progress.tail, redone, progress.states, wanted, rows_per_segment)
+    rows = _published(slices, starts, columns, new)
 
     done, recent = _set_apart(redone)
     # a symbol of which no bar is done keeps its state
-    moved = closing_states(resume(progress.tail, done, progress.states), wanted, starts)
+    moved = closing_states(*_continued(progress.tail, done, progress.states, wanted, rows_per_segment, True))
     states = moved.unionByName(progress.states.join(moved, "symbol", "left_anti"))
     tail = latest_rows(progress.tail.unionByName(done), "unix_timestamp", TAIL, ["symbol"])
     return rows, Progress(tail, recent, states)
@@ -176,6 +194,107 @@ def delta_indicators(
     return upsert(stored, rows, ["symbol", "unix_timestamp"], checked=False), progress
 
 
+LOG = "symbol string, since long, until long, carry array<double>, state array<double>"
+
+
+def logged_run(bars: DataFrame, columns: list[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> tuple[DataFrame, DataFrame]:
+    """Full indicator table and the log of states: one row per completed segment of a symbol,
+    with the states behind its last bar (``until``) and the first bar that a run from there reads."""
+    bars = bars.select(*[c for c in bars.columns if c in BASE])
+    log = segment_ends(segment(bars, rows_per_segment), recursive_inputs(columns)).drop("_seg")
+    return indicators(bars, columns, rows_per_segment), log
+
+
+def restart_points(log: DataFrame, new: DataFrame) -> DataFrame:
+    """Per symbol of ``new``: its first delivered bar and, if any, the last log row before that bar."""
+    first = new.groupBy("symbol").agg(F.min("unix_timestamp").alias("_first"))
+    row = F.struct("until", "since", "carry", "state")
+    before = log.join(first, "symbol").filter(F.col("until") < F.col("_first")).groupBy("symbol").agg(F.max_by(row, "until").alias("_r"))
+    return cut_lineage(first.join(before.select("symbol", "_r.*"), "symbol", "left"))
+
+
+def restarted_run(
+    stored: DataFrame, log: DataFrame, new: DataFrame, columns: list[str],
+    rows_per_segment: int = ROWS_PER_SEGMENT, points: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Indicator rows from the first delivered bar of each symbol on, and the log, as of a full run.
+
+    Delivered bars may lie at any depth and be any number.  Each symbol restarts behind the
+    last log row before its first delivered bar, or at its beginning if there is none, and
+    reads stored bars from ``since`` on only.  Symbols without new bars are not read.
+    """
+    new = new.select(*[c for c in new.columns if c in BASE])
+    points = restart_points(log, new) if points is None else points
+    key = ["symbol", "unix_timestamp"]
+    known = stored.select(*new.columns).join(points.select("symbol", "since", "until"), "symbol")
+    tail = known.filter((F.col("unix_timestamp") >= F.col("since")) & (F.col("unix_timestamp") <= F.col("until"))).select(*new.columns)
+    later = known.filter(F.col("until").isNull() | (F.col("unix_timestamp") > F.col("until"))).select(*new.columns)
+    redone = later.join(new.select(*key), key, "left_anti").unionByName(new)
+    wanted = recursive_inputs(columns)
+    states = points.filter("until IS NOT NULL").select("symbol", "carry", "state")
+    slices, starts = _continued(tail, redone, states, wanted, rows_per_segment)
+    kept = log.join(points.select("symbol", "_first"), "symbol", "left").filter(
+        F.col("_first").isNull() | (F.col("until") < F.col("_first"))).drop("_first")
+    ends = segment_ends(slices, wanted, starts).drop("_seg") if wanted else log.limit(0)
+    return _published(slices, starts, columns, new), kept.unionByName(ends)
+
+
+@dataclass(frozen=True)
+class IndicatorStore:
+    """Bars and indicator rows as merged tables, and the log of states of each version of the rows."""
+
+    spark: SparkSession
+    path: str
+    columns: tuple[str, ...]
+    rows_per_segment: int = ROWS_PER_SEGMENT
+
+    def _table(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.path}/{name}", ("symbol", "unix_timestamp"), by_month("unix_timestamp"))
+
+    @property
+    def bars(self) -> SnapshotTable:
+        return self._table("bars")
+
+    @property
+    def rows(self) -> SnapshotTable:
+        return self._table("rows")
+
+    def log(self, version: int) -> DataFrame:
+        return self.spark.read.schema(LOG).parquet(f"{self.path}/log/version={version}")
+
+    def _keep_log(self, log: DataFrame, version: int) -> None:
+        log.select("symbol", "since", "until", "carry", "state").write.mode("overwrite").parquet(f"{self.path}/log/version={version}")
+
+    def create(self, bars: DataFrame) -> None:
+        self.bars.create(bars.select(*[c for c in bars.columns if c in BASE]))
+        rows, log = logged_run(self.bars.read(1), list(self.columns), self.rows_per_segment)
+        self._keep_log(log, 1)
+        self.rows.create(rows)
+
+    def deliver(self, new: DataFrame) -> DataFrame:
+        """Takes new, late or corrected bars in; returns the indicator table as a full run would give it.
+
+        Reads the months of stored bars from the restart points on and rewrites the months
+        that change.  A delivery that died is to be delivered again.
+        """
+        new = cut_lineage(new.select(*[c for c in new.columns if c in BASE]))
+        version = self.rows.versions()[-1]
+        log = self.log(version)
+        points = restart_points(log, new)
+        whole, since = points.agg(F.bool_or(F.col("until").isNull()), F.min("since")).first()  # one row
+        held, _ = self.bars.holders()
+        months = None
+        if whole is False:
+            first = datetime.fromtimestamp(since, timezone.utc).strftime("%Y-%m")
+            months = [m for m in held if m >= first]
+        stored = self.bars.read(parts=months)
+        self.bars.merge(new)
+        rows, log = restarted_run(stored, log, new, list(self.columns), self.rows_per_segment, points)
+        self._keep_log(log, version + 1)
+        self.rows.merge(rows)
+        return self.rows.read()
+
+
 def restarted_indicators(
     stored: DataFrame, bars: DataFrame, columns: list[str], warmup_rows: int = 1000
 ) -> DataFrame:
