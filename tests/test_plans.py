@@ -148,3 +148,22 @@ def test_day_without_previous_has_no_change(spark):
     daily = fg.daily_index(score_news(articles(spark, range(4), 0).unionByName(articles(spark, range(4, 6), 24))))
     first, second = daily.orderBy("date").collect()
     assert first.fng_index_change is None and second.fng_index_change is not None
+
+
+def test_merged_partials_count_each_batch_once(spark, tmp_path):
+    """Several turns of the folders; repeated batches and late articles change nothing else."""
+    landed, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    everything = None
+    for i in range(7):
+        drop = articles(spark, range(10 * i, 10 * i + 10), i % 3)
+        everything = drop if everything is None else everything.unionByName(drop)
+        drop.write.mode("append").parquet(landed)
+        inc.maintain_index(score_news(inc.news_stream(spark, landed)), "day", out, state, slots=2).awaitTermination()
+        if i == 5:  # it has merged all six; if it ran again it would merge the same rows
+            assert inc.merged_partials(inc._kept_partials(spark, out, 5, 0)).first()["n"] == 60
+    assert len(list((tmp_path / "out" / "batches").iterdir())) == 2 and len(list((tmp_path / "out" / "merged").iterdir())) == 2
+    got, want = inc.current_buckets(spark, out).collect(), fg.daily_stats(score_news(everything)).collect()
+    assert len(got) == len(want) == 1
+    for c in want[0].asDict():
+        if c != "date":
+            assert got[0][c] == (pytest.approx(want[0][c]) if isinstance(want[0][c], float) else want[0][c]), c

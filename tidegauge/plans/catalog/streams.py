@@ -14,7 +14,7 @@ from tidegauge.plans.fear_greed import score_news
 from tidegauge.plans.indicators import indicators
 from tidegauge.plans.strategy import Settings, moving_average
 from tidegauge.session import scratch_path
-from tidegauge.streaming import incremental as inc
+from tidegauge.streaming import incremental as inc, stateful
 
 
 def drop(rows, path: str, part: int) -> None:
@@ -59,6 +59,39 @@ def _hourly_stream(spark, sf_dir):
     return rounded(out.select(iso("bucket_start").alias("bucket_start"), "total_articles", "fng_index_value"))
 
 
+@query("R03_merged_daily_statistics", f"""{SCORED_SQL}
+SELECT strftime(date_trunc('day', pub), '%Y-%m-%d %H:%M:%S') AS bucket_start, count(*) AS total_articles,
+  count(*) FILTER (label IN ('GREED', 'EXTREMELY GREED')) AS positive_articles, count(*) FILTER (label = 'NEUTRAL') AS neutral_articles,
+  count(*) FILTER (label IN ('FEAR', 'EXTREMELY FEAR')) AS negative_articles, {fixed_sql('min(score)')} AS min_sentiment_score,
+  {fixed_sql('max(score)')} AS max_sentiment_score, {fixed_sql('stddev_samp(score)')} AS stddev_sentiment_score FROM s GROUP BY 1""")
+def _merged_statistics(spark, sf_dir):
+    """Five drops in three folders: the day rows come from merged counts, sums and extremes only."""
+    landed, out, state = (scratch_path(spark, n) for n in ("landed", "index", "state"))
+    for part in range(5):
+        articles(spark, sf_dir).filter(F.col("id") % 5 == part).write.mode("append").parquet(landed)
+        inc.maintain_index(score_news(inc.news_stream(spark, landed)), "day", out, state, slots=3).awaitTermination()
+    rows = inc.current_buckets(spark, out).withColumn("bucket_start", iso("bucket_start"))
+    return rounded(rows.drop("avg_sentiment_score", "fng_index_value", "fng_index_label"))
+
+
+@query("R05_streamed_indicators", f"""{bars_sql(30)}{listed(
+    [("g", wilder("gain", 14)), ("l0", wilder("loss", 14)), *_ADX],
+    {"ema_50": padded(ema("c", 50), 49), "adx_14": padded("adx", 27), "rsi_14": padded(pairwise("g", "l0", RSI), 14)})}
+SELECT symbol, CAST(r.t AS BIGINT) AS t, {fixed_sql("u.ema_50")} AS ema_50, {fixed_sql("u.adx_14")} AS adx_14,
+  {fixed_sql("u.rsi_14")} AS rsi_14, {fixed_sql("sum(CASE WHEN c1 IS NULL OR close > c1 THEN v WHEN close < c1 THEN -v ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t)")} AS obv
+FROM r JOIN u USING (symbol, t)""")
+def _streamed_indicators(spark, sf_dir):
+    """Bars dropped in two parts; the query ends between them and goes on from Spark's state."""
+    columns = ["ema_50", "adx_14", "rsi_14", "obv"]
+    landed, out, state = (scratch_path(spark, n) for n in ("bars", "indicators", "state"))
+    bars = fixtures.event_bars(spark, sf_dir, 30).select(*stateful.BARS_SCHEMA.names)
+    for part in (F.col("unix_timestamp") < _CUT, F.col("unix_timestamp") >= _CUT):
+        bars.filter(part).write.mode("append").parquet(landed)
+        stateful.keep_indicators(stateful.bar_stream(spark, landed), columns, out, state).awaitTermination()
+    rows = spark.read.parquet(out)
+    return rows.select("symbol", F.col("unix_timestamp").alias("t"), *(fixed(F.col(c)).alias(c) for c in columns))
+
+
 _CUT = 1_704_067_200 + 26 * 86_400
 _DELTA = ["sma_20", "ema_50", "tema_20", "rsi_14", "obv", "price_volatility_30d"]
 

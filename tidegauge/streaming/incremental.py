@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from tidegauge.operators.recursive import (
     OUTPUTS, PASSED, Plan, add_recursive, closing_states, segment_ends, starting_states,
 )
 from tidegauge.operators.segments import ROWS_PER_SEGMENT, TAIL, Segmented, drop_halo, resume, segment
-from tidegauge.plans.fear_greed import _counts, score_news
+from tidegauge.plans.fear_greed import score_news
 from tidegauge.plans.indicators import indicators
 from tidegauge.session import cut_lineage
 from tidegauge.sources.snapshots import SnapshotTable, by_month
@@ -49,40 +50,85 @@ def append_scores(
     return writer.trigger(**trigger).start()
 
 
-def bucket_index(scored: DataFrame, unit: str) -> DataFrame:
-    """Hourly or daily index of scored articles."""
-    bucket = F.date_trunc(unit, "published_datetime").alias("bucket_start")
-    buckets = scored.groupBy(bucket).agg(*_counts())
-    return buckets.withColumn("fng_index_value", index_value(F.col("avg_sentiment_score"))).withColumn(
+#: Batches whose partial aggregates are kept apart before they are merged into one.
+SLOTS = 16
+
+
+def bucket_partials(scored: DataFrame, unit: str) -> DataFrame:
+    """What scored articles add to their hour or day: counts, sums and extremes, which can be merged."""
+    score, label = F.col("sentiment_score"), F.col("sentiment_label")
+    return scored.groupBy(F.date_trunc(unit, "published_datetime").alias("bucket_start")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(score).alias("n_scores"),
+        F.sum(score).alias("total"), F.sum(score * score).alias("squares"), F.min(score).alias("least"), F.max(score).alias("most"),
+        F.count_if(label.isin("GREED", "EXTREMELY GREED")).alias("positive"), F.count_if(label == "NEUTRAL").alias("neutral"),
+        F.count_if(label.isin("FEAR", "EXTREMELY FEAR")).alias("negative"),
+    )
+
+
+PARTIALS = ("bucket_start timestamp, n long, n_scores long, total double, squares double, least double, most double, "
+            "positive long, neutral long, negative long, upto long")
+
+
+def merged_partials(parts: DataFrame) -> DataFrame:
+    sums = ("n", "n_scores", "total", "squares", "positive", "neutral", "negative")
+    return parts.groupBy("bucket_start").agg(*(F.sum(c).alias(c) for c in sums), F.min("least").alias("least"), F.max("most").alias("most"))
+
+
+def index_of_partials(parts: DataFrame) -> DataFrame:
+    """The hourly or daily index with the statistics of its scores, from merged partial aggregates."""
+    n, mean = F.col("n_scores"), F.col("total") / F.col("n_scores")
+    spread = F.greatest(F.col("squares") - F.col("total") * mean, F.lit(0.0))
+    rows = merged_partials(parts).select(
+        "bucket_start", F.col("n").alias("total_articles"), F.col("positive").alias("positive_articles"),
+        F.col("neutral").alias("neutral_articles"), F.col("negative").alias("negative_articles"), mean.alias("avg_sentiment_score"),
+        F.col("least").alias("min_sentiment_score"), F.col("most").alias("max_sentiment_score"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("stddev_sentiment_score"),
+    )
+    return rows.withColumn("fng_index_value", index_value(F.col("avg_sentiment_score"))).withColumn(
         "fng_index_label", index_label(F.col("fng_index_value"))
     )
 
 
+def _kept_partials(spark: SparkSession, out: str, number: int | None = None, side: int | None = None) -> DataFrame:
+    """The newest merged partials and those of later batches; for merging anew, without the
+    side that is about to be written and up to batch ``number``."""
+    names = [c.split()[0] for c in PARTIALS.split(", ")]
+
+    def read(name: str) -> DataFrame:
+        try:
+            return spark.read.schema(PARTIALS).parquet(f"{out}/{name}")
+        except AnalysisException:  # nothing written yet
+            return spark.createDataFrame([], f"{PARTIALS}, side int, slot int")
+
+    merged, single = read("merged"), read("batches")
+    if number is not None:
+        merged, single = merged.filter(F.col("side") != side), single.filter(F.col("upto") <= number)
+    newest = merged.agg(F.coalesce(F.max("upto"), F.lit(-1)).alias("_newest"))  # one row
+    rows = merged.join(F.broadcast(newest), F.col("upto") == F.col("_newest")).select(*names)
+    later = single.join(F.broadcast(newest), F.col("upto") > F.col("_newest")).select(*names)
+    return rows.unionByName(later)
+
+
 def maintain_index(
-    scored: DataFrame, unit: str, out: str, checkpoint: str, every: str | None = None
+    scored: DataFrame, unit: str, out: str, checkpoint: str, every: str | None = None, slots: int = SLOTS
 ) -> StreamingQuery:
-    """Keep scored articles by day and recompute the buckets a batch touches.
+    """Keep mergeable aggregates per hour or day; no stored article is ever read again.
 
-    However late an article is, its bucket is computed anew from all stored rows of
-    that day, so none is lost and no other day is read.  Changed buckets are appended
-    with their batch number; :func:`current_buckets` keeps the newest version.  A
-    repeated batch rewrites its own folders.
+    However late an article is, its batch adds to its bucket.  A batch writes the aggregates
+    of its own articles into one of ``slots`` folders in turn; the last of a turn merges them
+    all into one of two further folders, so the number of folders does not grow.  A repeated
+    batch rewrites its own folder, and the merged rows say up to which batch they go, so
+    nothing counts twice.  :func:`current_buckets` reads between batches.
     """
     spark = scored.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
-        held = ["published_datetime", "sentiment_score", "sentiment_label"]
-        rows = batch.select(*held, F.to_date("published_datetime").alias("day"))
-        rows.write.mode("overwrite").partitionBy("day").parquet(f"{out}/rows/batch={number}")
-        stored = spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows/batch=*")
-        stored = stored.filter(F.col("batch") <= number)
-        own = spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows/batch={number}")
-        day, bucket = F.col("day"), F.date_trunc(unit, "published_datetime")
-        touched = own.select(day, bucket.alias("_b")).distinct()
-        again = stored.withColumn("_b", bucket).join(touched, ["day", "_b"], "left_semi")
-        bucket_index(again, unit).withColumn("version", F.lit(number)).write.mode("overwrite").parquet(
-            f"{out}/buckets/batch={number}"
-        )
+        own = bucket_partials(batch, unit).withColumn("upto", F.lit(number).cast("long"))
+        own.write.mode("overwrite").parquet(f"{out}/batches/slot={number % slots}")
+        if number % slots == slots - 1:
+            side = number // slots % 2
+            kept = merged_partials(_kept_partials(spark, out, number, side)).withColumn("upto", F.lit(number).cast("long"))
+            kept.write.mode("overwrite").parquet(f"{out}/merged/side={side}")
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
@@ -92,11 +138,7 @@ def maintain_index(
 
 
 def current_buckets(spark: SparkSession, out: str) -> DataFrame:
-    rows = spark.read.parquet(f"{out}/buckets/batch=*")
-    values = [c for c in rows.columns if c not in ("bucket_start", "version")]
-    return rows.groupBy("bucket_start").agg(
-        F.max_by(F.struct(*values), "version").alias("_v")
-    ).select("bucket_start", "_v.*")
+    return index_of_partials(_kept_partials(spark, out))
 
 
 # newest bars per symbol that a later delivery may repeat or correct
