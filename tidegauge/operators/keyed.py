@@ -111,6 +111,26 @@ def wide_by_date(metrics: dict[str, DataFrame], spine: list[str], full_spine: bo
     return out.select("date", F.coalesce(*stamps).alias("unix_ts"), *names)
 
 
+def wide_from_long(rows: DataFrame, columns: list[str], spine: list[str], stamps: list[str], full_spine: bool = False) -> DataFrame:
+    """(feed, column, date, unix_ts, value) to one row per date with a column for each of ``columns``.
+
+    Of several records of a feed on one date the one with the greatest unix_ts counts, with its
+    NULLs, and of those without a time the one with the greatest value.  Dates are those of the
+    feeds in ``spine``; unix_ts is that of the first feed of ``stamps`` that has the date.  One
+    aggregate with partial sums: one scan and one shuffle whatever the number of feeds.
+    """
+    newest = F.struct(F.col("unix_ts").isNotNull().alias("dated"), "unix_ts", F.col("value").isNotNull().alias("known"), "value")
+    own = lambda c: F.col("column") == c
+    out = rows.filter(F.col("date").isNotNull()).groupBy("date").agg(
+        F.max(F.col("feed").isin(list(spine))).alias("_on_spine"),
+        *(F.max(F.when(F.col("feed") == f, F.col("unix_ts"))).alias(f"_ts_{i}") for i, f in enumerate(stamps)),
+        *(F.max_by(F.when(own(c), F.col("value")), F.when(own(c), newest)).alias(c) for c in columns),
+    )
+    if not full_spine:
+        out = out.filter("_on_spine")
+    return out.select("date", F.coalesce(*(F.col(f"_ts_{i}") for i in range(len(stamps)))).alias("unix_ts"), *columns)
+
+
 def date_spine(tables: list[DataFrame]) -> DataFrame:
     """Distinct dates of several tables."""
     return reduce(DataFrame.union, [t.select("date") for t in tables]).distinct()
@@ -121,7 +141,12 @@ def align_by_date(series: dict[str, DataFrame]) -> DataFrame:
     stacked = reduce(DataFrame.unionByName, [
         df.select("date", "value", "ord", F.lit(name).alias("series")) for name, df in series.items()
     ])
-    return stacked.groupBy("date").agg(*(
+    return aligned(stacked, list(series))
+
+
+def aligned(rows: DataFrame, series: list[str]) -> DataFrame:
+    """(date, series, value, ord) to one row per date with a column per series; the later duplicate wins."""
+    return rows.groupBy("date").agg(*(
         F.max_by(
             F.when(F.col("series") == n, F.col("value")), F.when(F.col("series") == n, F.col("ord"))
         ).alias(n) for n in series

@@ -225,16 +225,17 @@ def _distinct(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("date")).distinct()
 
 
-@query("J05_outer_align_by_date", f"""{_GAPS_SQL}
-SELECT strftime(day, '%Y-%m-%d') AS date, {', '.join(
-    f"{fixed_sql(f'''max(CASE WHEN event_type = '{e}' THEN v END)''')} AS {e}" for e in EVENT_TYPES[:4])}
-FROM g WHERE event_type <> 'view' GROUP BY 1""")
+_ALIGNED = ", ".join(fixed_sql(f"max(v) FILTER (event_type = '{e}')") + f" AS {e}" for e in EVENT_TYPES)
+
+
+@query("J05_outer_align_by_date", f"{_GAPS_SQL} SELECT strftime(day, '%Y-%m-%d') AS date, {_ALIGNED} FROM g GROUP BY 1")
 def _aligned(spark, sf_dir):
-    series = gapped(spark, sf_dir)
-    early = {e: series[e].select("date", F.lit(-1.0).alias("value"), F.lit(0).alias("ord")) for e in EVENT_TYPES[:4]}
-    late = {e: series[e].select("date", "value", F.lit(1).alias("ord")) for e in EVENT_TYPES[:4]}
-    out = ops.align_by_date({e: early[e].unionByName(late[e]) for e in EVENT_TYPES[:4]})
-    return rounded(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")))
+    """Every series, each date once with an early value and once with the later one that counts; one scan."""
+    i = F.array_position(F.array(*(F.lit(e) for e in EVENT_TYPES)), F.col("event_type")) - 1
+    late = daily_values(spark, sf_dir).filter((F.dayofmonth("date") + i) % 6 != 0)
+    both = F.explode(F.array(F.struct(F.lit(-1.0).alias("value"), F.lit(0).alias("ord")), F.struct("value", F.lit(1).alias("ord"))))
+    rows = late.select("date", F.col("event_type").alias("series"), both.alias("r")).select("date", "series", "r.*")
+    return rounded(ops.aligned(rows, list(EVENT_TYPES)).withColumn("date", F.date_format("date", "yyyy-MM-dd")))
 
 
 _GRID = f"""{bars_sql()},

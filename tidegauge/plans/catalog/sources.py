@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.topics import SEEDS
-from tidegauge.operators.keyed import upsert
+from tidegauge.operators.keyed import upsert, wide_from_long
 from tidegauge.plans import fixtures
 from tidegauge.plans.catalog import fixed, fixed_sql, iso, query, rounded
 from tidegauge.plans.catalog.series import bars_sql
 from tidegauge.session import scratch_path, table
 from tidegauge.sources import feeds, sinks
+from tidegauge.sources.snapshots import SnapshotTable
 
 DAY_SQL = """
 daily AS (SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS day,
@@ -28,14 +29,11 @@ def daily_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("unix_ts", F.unix_timestamp(F.col("date").cast("timestamp")))
 
 
-def land_json(rows: DataFrame, spec: feeds.Feed, path: str, date_pattern: str = "yyyy-MM-dd") -> None:
-    """One array-of-objects file per feed; a daily feed is bounded by the calendar."""
-    record = F.to_json(F.struct(
-        F.date_format("date", date_pattern).alias(spec.date_field), F.col("unix_ts").alias("unixTs"),
-        *(F.col("value").alias(field) for field, _ in spec.columns),
-    ))
-    text = F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]"))
-    rows.agg(text.alias("value")).coalesce(1).write.text(path)
+def land_json(rows: DataFrame, record, path: str, by: list[str]) -> None:
+    """Array-of-objects files, one array per value of ``by`` and month; the months are written by all tasks."""
+    text = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(record)), ","), F.lit("]"))
+    months = rows.groupBy(*by, F.date_trunc("month", "date").alias("_month")).agg(text.alias("value")).drop("_month")
+    (months.write.partitionBy(*by) if by else months.write).text(path)
 
 
 def of_type(rows: DataFrame, event_type: str) -> DataFrame:
@@ -43,11 +41,13 @@ def of_type(rows: DataFrame, event_type: str) -> DataFrame:
 
 
 @query("S01_json_feed_scan", f"""WITH {DAY_SQL}
-SELECT strftime(day, '%Y-%m-%d') AS date, unix_ts, {fixed_sql('v')} AS market_price FROM daily WHERE event_type = 'click'""")
+SELECT event_type, strftime(day, '%Y-%m-%d') AS date, unix_ts, {fixed_sql('v')} AS market_price FROM daily""")
 def _json_feed(spark, sf_dir):
     path, spec = scratch_path(spark, "feed"), feeds.feed("market_price")
-    land_json(of_type(daily_values(spark, sf_dir), "click"), spec, path)
-    out = feeds.load_feed(feeds.read_json_feed(spark, path, spec.schema), spec)
+    record = F.struct("event_type", F.date_format("date", "yyyy-MM-dd").alias("d"), F.col("unix_ts").alias("unixTs"), F.col("value").alias("btcPrice"))
+    land_json(daily_values(spark, sf_dir), record, path, [])
+    rows = feeds.read_json_feed(spark, path, spec.schema.add("event_type", "string"))
+    out = feeds.load_feed(rows, spec, ["event_type"])
     return rounded(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")))
 
 
@@ -59,33 +59,81 @@ def _variant(spark, sf_dir):
     return parsed.select("event_id", feeds.variant_field("k", "double").alias("k"))
 
 
-REGISTERED = {
-    "click": "market_price", "view": "supply_current", "error": "bitcoin_dominance",
-    "signup": "active_addresses", "purchase": "miner_balances",
-}
+METRICS = [(name, field, column) for name, spec in feeds.FEEDS.items() for field, column in spec.columns]
+COLUMNS = [column for _, _, column in METRICS]
+ON_SPINE = [i for i, (name, _, _) in enumerate(METRICS) if name in feeds.SPINE]
 
+# every event counts for one of the columns; on every ninth day no feed of the spine has a record, and a
+# record of every fifth day came an hour earlier with other values, without the stocks' first column
+METRIC_SQL = f"""
+metric AS (SELECT * FROM (SELECT event_id % {len(METRICS)} AS k, CAST(date_trunc('day', ts) AS DATE) AS day,
+  CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS unix_ts, avg(value) AS v FROM events GROUP BY 1, 2, 3) m
+  WHERE day(day) % 9 <> 0 OR k NOT IN ({', '.join(map(str, ON_SPINE))}))"""
 
-@query("S02_metric_registry_scan", f"""WITH {DAY_SQL}
-SELECT CASE event_type {' '.join(f"WHEN '{e}' THEN '{m}'" for e, m in REGISTERED.items())} END AS metric,
-  strftime(day, '%Y-%m-%d') AS date, unix_ts, {fixed_sql('v')} AS value FROM daily""")
+
+def metric_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily mean of the events of each registered column: (k, date, unix_ts, value)."""
+    at = F.col("ts").cast("timestamp")
+    rows = table(spark, sf_dir, "events").groupBy((F.col("event_id") % len(METRICS)).alias("k"), F.to_date(at).alias("date")).agg(F.avg("value").alias("value"))
+    return rows.filter((F.dayofmonth("date") % 9 != 0) | ~F.col("k").isin(ON_SPINE)).withColumn(
+        "unix_ts", F.unix_timestamp(F.col("date").cast("timestamp")))
+
+
+def land_registry(spark: SparkSession, sf_dir: str) -> str:
+    """The files of all 33 feeds, with older records that later ones replace; the folder they stand in."""
+    path, k = scratch_path(spark, "registry"), F.col("k")
+    values = metric_values(spark, sf_dir)
+    named = values.withColumn("feed", F.array(*(F.lit(n) for n, _, _ in METRICS))[k])
+    early = named.filter(F.dayofmonth("date") % 5 == 0).withColumn("unix_ts", F.col("unix_ts") - 3600).withColumn("value", F.lit(-1.0))
+    cells = [F.max(F.when(k == i, F.col("value"))).alias(field) for i, (_, field, _) in enumerate(METRICS)]
+    rows = named.unionByName(early).groupBy("feed", "date", "unix_ts").agg(*cells)
+    dates = {f.date_field for f in feeds.FEEDS.values()}
+    text = F.when(F.col("feed") == "bitcoin_dominance", F.date_format("date", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("date", "yyyy-MM-dd"))
+    own = {d: F.col("feed").isin([n for n, f in feeds.FEEDS.items() if f.date_field == d]) for d in dates}
+    record = F.struct(*(F.when(own[d], text).alias(d) for d in sorted(dates)), F.col("unix_ts").alias("unixTs"), *(field for _, field, _ in METRICS))
+    land_json(rows, record, path, ["feed"])
+    return path
+
+
+@query("S02_metric_registry_scan", f"""WITH {METRIC_SQL},
+named AS (SELECT * FROM metric JOIN (VALUES {', '.join(f"({i}, '{n}', '{c}')" for i, (n, _, c) in enumerate(METRICS))}) x(k, feed, col) USING (k)),
+feed_day AS (SELECT DISTINCT feed, day, unix_ts FROM named),
+expected AS (SELECT f.feed, x.col, x.k, f.day, f.unix_ts FROM feed_day f
+  JOIN (VALUES {', '.join(f"({i}, '{n}', '{c}')" for i, (n, _, c) in enumerate(METRICS))}) x(k, feed, col) USING (feed))
+SELECT e.feed, e.col AS metric, strftime(e.day, '%Y-%m-%d') AS date, e.unix_ts, {fixed_sql('m.v')} AS value
+FROM expected e LEFT JOIN metric m ON m.k = e.k AND m.day = e.day
+UNION ALL SELECT e.feed, e.col, strftime(e.day, '%Y-%m-%d'), e.unix_ts - 3600, CASE WHEN m.v IS NOT NULL THEN -1.0::DOUBLE END
+FROM expected e LEFT JOIN metric m ON m.k = e.k AND m.day = e.day WHERE day(e.day) % 5 = 0""")
 def _registry(spark, sf_dir):
-    rows, out = daily_values(spark, sf_dir), None
-    for event_type, metric in REGISTERED.items():
-        path, spec = scratch_path(spark, metric), feeds.feed(metric)
-        long_dates = "yyyy-MM-dd HH:mm:ss" if metric == "bitcoin_dominance" else "yyyy-MM-dd"
-        land_json(of_type(rows, event_type), spec, path, long_dates)
-        loaded = feeds.load_feed(feeds.read_json_feed(spark, path, spec.schema), spec).select(
-            F.lit(metric).alias("metric"), F.date_format("date", "yyyy-MM-dd").alias("date"), "unix_ts",
-            fixed(F.col(spec.columns[0][1])).alias("value"),
-        )
-        out = loaded if out is None else out.unionByName(loaded)
-    return out
+    """All 33 feeds, 42 columns, in one scan of byte ranges."""
+    rows = feeds.read_registry(spark, land_registry(spark, sf_dir), 1 << 16)
+    return rows.select("feed", F.col("column").alias("metric"), F.date_format("date", "yyyy-MM-dd").alias("date"), "unix_ts", fixed(F.col("value")).alias("value"))
+
+
+@query("J01_global_wide_table", f"""WITH {METRIC_SQL},
+s AS (SELECT DISTINCT day FROM metric WHERE k IN ({', '.join(map(str, ON_SPINE))})),
+w AS (SELECT day, {', '.join(f"max(v) FILTER (k = {i}) AS {c}" for i, c in enumerate(COLUMNS))},
+  {', '.join(f"max(unix_ts) FILTER (k = {[n for n, _, _ in METRICS].index(f)}) AS t{i}" for i, f in enumerate(feeds.STAMPS))} FROM metric GROUP BY 1)
+SELECT strftime(day, '%Y-%m-%d') AS date, coalesce(t0, t1, t2) AS unix_ts, {', '.join(f"{fixed_sql(c)} AS {c}" for c in COLUMNS)},
+  CASE WHEN day(day) % 2 = 0 THEN '2024-01-01 00:00:00' ELSE '2024-06-01 00:00:00' END AS created_at, '2024-06-01 00:00:00' AS updated_at
+FROM w JOIN s USING (day)""")
+def _global(spark, sf_dir):
+    """33 feeds to the wide daily table, merged with audit columns into one that holds every second date already."""
+    rows = feeds.read_registry(spark, land_registry(spark, sf_dir))
+    wide = wide_from_long(rows, COLUMNS, list(feeds.SPINE), list(feeds.STAMPS))
+    then, now = (F.to_timestamp(F.lit(x)) for x in ("2024-01-01 00:00:00", "2024-06-01 00:00:00"))
+    stored = SnapshotTable(spark, scratch_path(spark, "global"), ("date",), F.date_format("date", "yyyy"))
+    known = table(spark, sf_dir, "events").select(F.to_date(F.col("ts").cast("timestamp")).alias("date")).distinct().filter(F.dayofmonth("date") % 2 == 0)
+    on_spine = known.filter((F.dayofmonth("date") % 9 != 0))
+    empty = [F.lit(None).cast("double").alias(c) for c in COLUMNS]
+    stored.create(on_spine.select("date", F.lit(0).cast("long").alias("unix_ts"), *empty, then.alias("created_at"), then.alias("updated_at")))
+    out = stored.read(stored.merge(wide, now=now))
+    return rounded(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")).withColumn("created_at", iso("created_at")).withColumn("updated_at", iso("updated_at")))
 
 
 @query("S03_kline_scan", f"""{bars_sql()}
 SELECT CAST(t AS BIGINT) AS unix_timestamp, strftime(to_timestamp(t), '%Y-%m-%d') AS date,
-  CAST(hour(to_timestamp(t)) AS BIGINT) AS hour_of_day, open, high, close, low, v AS volume_btc FROM b
-WHERE symbol = 'click'""")
+  CAST(hour(to_timestamp(t)) AS BIGINT) AS hour_of_day, open, high, close, low, v AS volume_btc, symbol FROM b""")
 def _klines(spark, sf_dir):
     path = scratch_path(spark, "klines")
     text = lambda c: F.col(c).cast("string")
@@ -94,52 +142,50 @@ def _klines(spark, sf_dir):
         text("close"), text("volume_btc"), (F.col("unix_timestamp") * 1000 + 3_599_999).cast("string"),
         text("volume_usd"),
     ]
-    bars = fixtures.event_bars(spark, sf_dir).filter("symbol = 'click'")
-    bars.select(F.to_json(F.array(*cells)).alias("value")).write.text(path)
-    return feeds.read_klines(spark, path).select(
-        "unix_timestamp", F.date_format("date", "yyyy-MM-dd").alias("date"),
+    bars = fixtures.event_bars(spark, sf_dir)
+    bars.select("symbol", F.to_json(F.array(*cells)).alias("value")).write.partitionBy("symbol").text(path)
+    return feeds.read_klines(spark, path, ["symbol"]).select(
+        "symbol", "unix_timestamp", F.date_format("date", "yyyy-MM-dd").alias("date"),
         F.col("hour_of_day").cast("long").alias("hour_of_day"), "open", "high", "close", "low", "volume_btc",
     )
 
 
-def land_price_csv(spark: SparkSession, sf_dir: str, event_type: str) -> str:
-    """Date/Close file in which every seventh day has an unreadable close."""
+def land_price_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Date/Close files of every event type, in which every seventh day has an unreadable close."""
     path = scratch_path(spark, "prices")
-    rows = of_type(daily_values(spark, sf_dir), event_type)
     close = F.when(F.dayofmonth("date") % 7 == 0, "n/a").otherwise(F.col("value").cast("string"))
-    rows.select(
-        F.date_format("date", "yyyy-MM-dd").alias("Date"), F.lit("x").alias("Open"), close.alias("Close")
-    ).write.option("header", True).csv(path)
+    daily_values(spark, sf_dir).select(
+        "event_type", F.date_format("date", "yyyy-MM-dd").alias("Date"), F.lit("x").alias("Open"), close.alias("Close")
+    ).write.option("header", True).partitionBy("event_type").csv(path)
     return path
 
 
 @query("S04_csv_history_scan", f"""WITH {DAY_SQL}
-SELECT strftime(day, '%Y-%m-%d') AS date, {fixed_sql('v')} AS close FROM daily
-WHERE event_type = 'view' AND day(day) % 7 <> 0""")
+SELECT event_type, strftime(day, '%Y-%m-%d') AS date, {fixed_sql('v')} AS close FROM daily WHERE day(day) % 7 <> 0""")
 def _csv_history(spark, sf_dir):
-    out = feeds.read_price_csv(spark, land_price_csv(spark, sf_dir, "view"))
+    out = feeds.read_price_csv(spark, land_price_csv(spark, sf_dir), ["event_type"])
     return rounded(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")))
 
 
 @query("S04_csv_latest_row", f"""WITH {DAY_SQL}
-SELECT strftime(day, '%Y-%m-%d') AS date, {fixed_sql('v')} AS close FROM daily
-WHERE event_type = 'view' AND day(day) % 7 <> 0 ORDER BY day DESC LIMIT 1""")
+SELECT event_type, strftime(max(day), '%Y-%m-%d') AS date, {fixed_sql('arg_max(v, day)')} AS close FROM daily
+WHERE day(day) % 7 <> 0 GROUP BY 1""")
 def _csv_latest(spark, sf_dir):
-    out = feeds.latest_price(feeds.read_price_csv(spark, land_price_csv(spark, sf_dir, "view")))
+    out = feeds.latest_price(feeds.read_price_csv(spark, land_price_csv(spark, sf_dir), ["event_type"]), ["event_type"])
     return rounded(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")))
 
 
 @query("S05_ohlcv_csv_load", f"""{bars_sql()}
 SELECT CAST(t AS BIGINT) AS unix_timestamp, strftime(to_timestamp(t), '%Y-%m-%d %H:%M:%S') AS datetime,
-  open, high, close, low, v AS volume FROM b WHERE symbol = 'view'""")
+  open, high, close, low, v AS volume, symbol FROM b""")
 def _ohlcv_csv(spark, sf_dir):
     path = scratch_path(spark, "ohlcv")
-    fixtures.event_bars(spark, sf_dir).filter("symbol = 'view'").select(
-        F.col("unix_timestamp").alias("UNIX_TIMESTAMP"), F.col("open").alias("OPEN"),
+    fixtures.event_bars(spark, sf_dir).select(
+        "symbol", F.col("unix_timestamp").alias("UNIX_TIMESTAMP"), F.col("open").alias("OPEN"),
         F.col("high").alias("HIGH"), F.col("close").alias("CLOSE"), F.col("low").alias("LOW"),
         F.col("volume_btc").alias("VOLUME"),
-    ).write.option("header", True).csv(path)
-    return feeds.read_ohlcv_csv(spark, path).withColumn("datetime", iso("datetime"))
+    ).write.option("header", True).partitionBy("symbol").csv(path)
+    return feeds.read_ohlcv_csv(spark, path, ["symbol"]).withColumn("datetime", iso("datetime"))
 
 
 URLS_PER_SITEMAP = 50_000     # limit of the sitemap format
@@ -203,7 +249,7 @@ def _stored(spark, sf_dir):
     return out.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
-_LABELS = [("click", 1), ("view", 2), ("error", 3)]
+_LABELS = [("click", 1), ("view", 2), ("error", 3), ("purchase", 4), ("signup", 5)]
 
 
 @query("S09_inline_values", f"""
@@ -211,7 +257,7 @@ SELECT event_type, CAST(rank AS BIGINT) AS rank, count(*) AS n FROM events
 JOIN (VALUES {', '.join(str(r) for r in _LABELS)}) v(event_type, rank) USING (event_type) GROUP BY 1, 2""")
 def _inline(spark, sf_dir):
     labels = feeds.inline_values(spark, _LABELS, "event_type string, rank long")
-    # a fixed list of three rows
+    # a fixed list of five rows
     counts = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     return counts.join(labels, "event_type").select("event_type", "rank", "n")
 

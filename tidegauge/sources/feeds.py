@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegauge.sources.objects import RANGE_BYTES, read_objects
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -81,8 +83,38 @@ def feed(name: str) -> Feed:
 
 
 def read_json_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One row per object of an array-of-objects file; a file is one download."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """One row per object of array-of-objects files, however large: see :mod:`tidegauge.sources.objects`."""
+    return read_objects(spark, path, schema)
+
+
+#: Dates of a wide row are those of these feeds; its time is that of the first of STAMPS that has the date.
+SPINE = ("market_price", "mvrv", "nupl", "asol", "etf_flow_btc", "bitcoin_dominance", "nvts", "hashrate", "investor_price", "stocks")
+STAMPS = ("market_price", "delta_price_pct", "mvrv")
+
+
+def registry_schema() -> T.StructType:
+    """Fields of all feeds, and the feed's name from its folder."""
+    dates = sorted({f.date_field for f in FEEDS.values()})
+    values = dict.fromkeys(field for f in FEEDS.values() for field, _ in f.columns)
+    return T.StructType([T.StructField("feed", T.StringType()), *[T.StructField(d, T.StringType()) for d in dates], T.StructField("unixTs", T.LongType()),
+                         *[T.StructField(v, T.DoubleType()) for v in values]])
+
+
+def read_registry(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Landed files of any feeds below ``path``/feed=NAME as (feed, column, date, unix_ts, value), in one scan.
+
+    A record gives one row per column of its feed, with a NULL value where the field is
+    missing.  Records without a date and files of unknown feeds give none.
+    """
+    rows = read_objects(spark, path, registry_schema(), range_bytes)
+    columns = F.lit(None)
+    for name, spec in FEEDS.items():
+        cells = F.array(*(F.struct(F.lit(column).alias("column"), F.col(field).alias("value")) for field, column in spec.columns))
+        columns = F.when(F.col("feed") == name, cells).otherwise(columns)
+    dates = sorted({f.date_field for f in FEEDS.values()})
+    return rows.select(
+        "feed", feed_date(F.coalesce(*dates)).alias("date"), F.col("unixTs").alias("unix_ts"), F.explode(columns).alias("c"),
+    ).filter(F.col("date").isNotNull()).select("feed", "c.column", "date", "unix_ts", "c.value")
 
 
 def read_variant_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -99,9 +131,10 @@ def feed_date(text: Column) -> Column:
     return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
 
 
-def load_feed(rows: DataFrame, spec: Feed) -> DataFrame:
-    """Typed (date, unix_ts, values...) projection; rows without a date are dropped."""
+def load_feed(rows: DataFrame, spec: Feed, by: list[str] | None = None) -> DataFrame:
+    """Typed (date, unix_ts, values...) projection, behind the columns ``by``; rows without a date are dropped."""
     return rows.select(
+        *(by or []),
         feed_date(F.col(spec.date_field)).alias("date"),
         F.col("unixTs").cast("long").alias("unix_ts"),
         *(F.col(field).cast("double").alias(column) for field, column in spec.columns),
@@ -122,18 +155,19 @@ def whole_number(text: Column) -> Column:
     )
 
 
-def read_klines(spark: SparkSession, path: str) -> DataFrame:
-    """Positional rows, one JSON array per line: open time (ms), o, h, l, c, volume, _, quote volume."""
+def read_klines(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """Positional rows, one JSON array per line: open time (ms), o, h, l, c, volume, _, quote volume.
+    ``by`` names columns of a partitioned folder to keep."""
     cell = F.from_json("value", "array<string>")
-    return kline_columns(spark.read.text(path).select(cell.alias("k")))
+    return kline_columns(spark.read.text(path).select(*(by or []), cell.alias("k")), by)
 
 
-def kline_columns(rows: DataFrame) -> DataFrame:
+def kline_columns(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     k = F.col("k")
     seconds = F.expr("cast(k[0] as bigint) div 1000")
     at = F.timestamp_seconds(seconds)
     return rows.select(
-        seconds.alias("unix_timestamp"),
+        *(by or []), seconds.alias("unix_timestamp"),
         F.to_date(at).alias("date"),
         F.hour(at).alias("hour_of_day"),
         *(
@@ -144,25 +178,26 @@ def kline_columns(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
-    """(date, close) from a CSV with a Date/Close header; bad or short rows are skipped."""
+def read_price_csv(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """(date, close) from a CSV with a Date/Close header; bad or short rows are skipped.
+    ``by`` names columns of a partitioned folder to keep."""
     rows = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
     names = {name.strip().lower(): name for name in rows.columns}
     if not {"date", "close"} <= set(names) or rows.isEmpty():
         raise ValueError("CSV history needs a Date/Close header and at least one row")
     return rows.select(
-        F.try_to_date(F.trim(F.col(names["date"])), "yyyy-MM-dd").alias("date"),
+        *(by or []), F.try_to_date(F.trim(F.col(names["date"])), "yyyy-MM-dd").alias("date"),
         F.expr(f"try_cast(trim(`{names['close']}`) as double)").alias("close"),
     ).filter(F.col("date").isNotNull() & F.col("close").isNotNull())
 
 
-def latest_price(history: DataFrame) -> DataFrame:
-    return history.agg(
+def latest_price(history: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return history.groupBy(*(by or [])).agg(
         F.max("date").alias("date"), F.max_by("close", "date").alias("close")
     )
 
 
-def read_ohlcv_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_ohlcv_csv(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
     rows = spark.read.option("header", True).csv(path)
     rows = rows.toDF(*(name.lower() for name in rows.columns))
     stamp = F.col("unix_timestamp").cast("long")
@@ -171,7 +206,7 @@ def read_ohlcv_csv(spark: SparkSession, path: str) -> DataFrame:
         at = F.coalesce(F.try_to_timestamp("datetime"), at)
     return rows.select(
         stamp.alias("unix_timestamp"), at.alias("datetime"),
-        *(F.col(x).cast("double").alias(x) for x in ("open", "high", "close", "low", "volume")),
+        *(F.col(x).cast("double").alias(x) for x in ("open", "high", "close", "low", "volume")), *(by or []),
     )
 
 
