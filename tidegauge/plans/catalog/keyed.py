@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.topics import AWS_SKIPPED, AWS_TOPICS, DBT_TOPICS, IICS_TOPICS, MIGRATION_SKIPPED, WAREHOUSE_SKIPPED, WAREHOUSE_TOPICS
 from tidegauge.operators import keyed as ops
 from tidegauge.operators.documents import topical
+from tidegauge.operators.slices import missing_ranges
 from tidegauge.plans import fixtures
 from tidegauge.plans.catalog import fixed, fixed_sql, iso, query, rounded
 from tidegauge.plans.catalog.series import bars_sql
@@ -262,6 +263,15 @@ def _missing(spark, sf_dir):
     return ops.missing_rows(hours, bars, ["symbol", "unix_timestamp"])
 
 
+@query("R06_missing_ranges", f"""{bars_sql(1)}
+SELECT symbol, CAST(t + 60 AS BIGINT) AS first_missing, CAST(t2 - 60 AS BIGINT) AS last_missing, CAST((t2 - t) / 60 - 1 AS BIGINT) AS n_missing
+FROM (SELECT symbol, t, lead(t) OVER (PARTITION BY symbol ORDER BY t) AS t2 FROM b) z WHERE t2 - t > 60""")
+def _missing_ranges(spark, sf_dir):
+    """Minute bars, cut into days: one row per gap instead of a grid of all minutes."""
+    bars = fixtures.event_bars(spark, sf_dir, 1).select("symbol", "unix_timestamp")
+    return missing_ranges(bars, ["symbol"], "unix_timestamp", 60, 86_400)
+
+
 @query("R07_delta_crawl_registry", """
 SELECT count(*) AS known, count(*) FILTER (WHERE page_id % 2 = 1) AS fetched FROM pages""")
 def _crawl(spark, sf_dir):

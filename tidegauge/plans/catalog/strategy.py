@@ -8,6 +8,7 @@ from tidegauge.operators.keyed import join_latest, join_on_date
 from tidegauge.plans import fixtures
 from tidegauge.plans import strategy as st
 from tidegauge.plans.catalog import fixed, fixed_sql, query, rounded
+from tidegauge.plans.catalog.series import bars_sql
 
 S = st.Settings()
 # closes are 2..3 digit figures of the same series, so that rounding compares well
@@ -206,6 +207,61 @@ def _returns(spark, sf_dir):
     ))
 
 
+_BY_SYMBOL = st.Settings(ma_type="SMA", ma_length=30, lookback=20, by=["symbol"])
+
+
+def _between(x: str) -> str:
+    """Linear in time between the known values around a row."""
+    return (f"CASE WHEN {x} IS NOT NULL THEN {x} WHEN {x}_a IS NOT NULL THEN {x}_b + ({x}_a - {x}_b) * (t - {x}_tb) / ({x}_ta - {x}_tb) ELSE {x}_b END")
+
+
+def _around(x: str) -> str:
+    at = f"CASE WHEN {x} IS NOT NULL THEN t END"
+    return (f"last_value({x} IGNORE NULLS) OVER up AS {x}_b, last_value({at} IGNORE NULLS) OVER up AS {x}_tb, "
+            f"first_value({x} IGNORE NULLS) OVER dn AS {x}_a, first_value({at} IGNORE NULLS) OVER dn AS {x}_ta")
+
+
+def _zscore_sql(x: str) -> str:
+    mean = f"CASE WHEN count({x}) OVER w30 = 30 THEN avg({x}) OVER w30 END"
+    deviation = f"CASE WHEN count({x}) OVER w20 = 20 THEN stddev_samp({x}) OVER w20 END"
+    return f"({x} - {mean}) / nullif({deviation}, 0)"
+
+
+_SERIES = "PARTITION BY symbol ORDER BY t ROWS BETWEEN"
+
+
+@query("W12_sliced_equity_by_symbol", f"""{bars_sql()},
+x0 AS (SELECT symbol, CAST(t AS BIGINT) AS t, CAST(t AS BIGINT) // 3600 AS h, close,
+  CASE WHEN count(*) OVER w = 48 THEN avg(close) OVER w END AS rp FROM b WINDOW w AS ({_SERIES} 47 PRECEDING AND CURRENT ROW)),
+x1 AS (SELECT symbol, t, close, CASE WHEN rp <> 0 AND NOT h % 200 BETWEEN 60 AND 140 THEN close / rp END AS m,
+  CASE WHEN close <> 0 AND h % 5 <> 0 THEN (close - rp) / close END AS n FROM x0),
+x2 AS (SELECT *, {_around('m')}, {_around('n')} FROM x1
+  WINDOW up AS ({_SERIES} UNBOUNDED PRECEDING AND CURRENT ROW), dn AS ({_SERIES} CURRENT ROW AND UNBOUNDED FOLLOWING)),
+x3 AS (SELECT symbol, t, close, {_between('m')} AS m, {_between('n')} AS n FROM x2),
+x4 AS (SELECT symbol, t, close, {_zscore_sql('m')} * 0.8 + {_zscore_sql('n')} * 0.2 AS x FROM x3
+  WINDOW w30 AS ({_SERIES} 29 PRECEDING AND CURRENT ROW), w20 AS ({_SERIES} 19 PRECEDING AND CURRENT ROW)),
+x5 AS (SELECT *, lag(x) OVER (PARTITION BY symbol ORDER BY t) AS x1 FROM x4),
+x6 AS (SELECT *, coalesce(last_value(CASE WHEN x1 <= -0.52 AND x > -0.52 THEN 1 WHEN x1 >= -1.32 AND x < -1.32 THEN 0 END IGNORE NULLS)
+  OVER ({_SERIES} UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS position FROM x5),
+x7 AS (SELECT *, coalesce(lag(position) OVER s, 0) AS was, lag(close) OVER s AS c1, first_value(close) OVER s AS c0 FROM x6
+  WINDOW s AS (PARTITION BY symbol ORDER BY t))
+SELECT symbol, t, CAST(position AS BIGINT) AS position, CAST(position - was AS BIGINT) AS signal,
+  {fixed_sql("10000 * exp(sum(ln(CASE WHEN was = 1 THEN close / c1 ELSE 1 END)) OVER (PARTITION BY symbol ORDER BY t))", 3)} AS portfolio_value,
+  {fixed_sql("10000 / c0 * close", 3)} AS buy_hold_value FROM x7""")
+def _sliced(spark, sf_dir):
+    """Hourly bars per symbol in slices of 64 rows; the ratio is missing for 81 hours on end."""
+    bars = fixtures.event_bars(spark, sf_dir).withColumn("date", F.col("unix_timestamp"))
+    rows = st.chain_ratios(bars.withColumn("realized_price", st.rolling_mean("close", 48, _BY_SYMBOL)))
+    hour = F.floor(F.col("unix_timestamp") / 3600)
+    rows = rows.select(
+        "symbol", "unix_timestamp", "close", F.when(~(hour % 200).between(60, 140), F.col("mvrv")).alias("mvrv"),
+        F.when(hour % 5 != 0, F.col("nupl")).alias("nupl"))
+    out = st.run_sliced(rows, _BY_SYMBOL, 64)
+    return out.select(
+        "symbol", F.col("unix_timestamp").alias("t"), F.col("position").cast("long").alias("position"), F.col("signal").cast("long").alias("signal"),
+        *(fixed(F.col(c), 3).alias(c) for c in ("portfolio_value", "buy_hold_value")))
+
+
 _LAST = "(SELECT max(i) FROM v)"
 _SUMMARY_SQL = f"""{TRADES_SQL},
 y AS (SELECT (SELECT strftime(d, '%Y-%m-%d') FROM v WHERE i = {_LAST}) AS execution_date, (SELECT signal FROM v WHERE i = {_LAST}) AS s,

@@ -6,14 +6,17 @@ is named in ``by``), so a series is bounded by the calendar.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import add
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.slices import (
+    OVERLAP, ROW_NUMBER, SLICE, before, carried, cut, exponential_scan, interpolated, with_overlap,
+)
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -81,25 +84,21 @@ def weighted_mean(df: DataFrame, x: str, out: str, n: int, s: Settings) -> DataF
 def exponential_means(df: DataFrame, x: str, n: int, levels: int, s: Settings) -> DataFrame:
     """Unseeded exponential mean(s), starting at the first value; columns _e1, _e2.
 
-    Recursive, hence one pass per series over (date, value) only; a daily series
-    is bounded by the calendar.
-    """
-    keys = list(s.by)
+    Recursive, but a year of rows is an affine map, so years run apart and only their maps
+    meet, one row a year."""
+    out = df if SLICE in df.columns else df.withColumn(SLICE, F.floor(_axis(df) / YEAR[dict(df.dtypes)["date"] == "date"]))
+    by = [k for k in s.by if k != SLICE]
+    for i in range(1, levels + 1):
+        out = exponential_scan(out, by, "date", x if i == 1 else f"_e{i - 1}", n, f"_e{i}")
+    return out if SLICE in df.columns else out.drop(SLICE)
+
 
-    def means(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        values = pdf[x]
-        for i in range(1, levels + 1):
-            values = values.ewm(span=n, adjust=False).mean()
-            pdf[f"_e{i}"] = values
-        return pdf.drop(columns=x)
+#: A year in the units of a numeric time (seconds) and of a date (days).
+YEAR = (31_556_952, 366)
 
-    names = "".join(f", _e{i} double" for i in range(1, levels + 1))
-    types = dict(df.dtypes)
-    schema = "".join(f"{k} {types[k]}, " for k in keys) + "date date" + names
-    source = df.select(*keys, "date", F.col(x).cast("double").alias(x))
-    found = source.groupBy(*keys).applyInPandas(means, schema)
-    return df.join(found, [*keys, "date"], "left")
+
+def _axis(df: DataFrame) -> Column:
+    return F.unix_date("date") if dict(df.dtypes)["date"] == "date" else F.col("date")
 
 
 def moving_average(df: DataFrame, x: str, out: str, ma_type: str, n: int, s: Settings) -> DataFrame:
@@ -138,7 +137,10 @@ def interpolate(df: DataFrame, columns: list[str], s: Settings) -> DataFrame:
 
 
 def zscore(df: DataFrame, x: str, s: Settings) -> DataFrame:
-    df = moving_average(df, x, f"{x}_ma", s.ma_type, s.ma_length, s)
+    return _scored(moving_average(df, x, f"{x}_ma", s.ma_type, s.ma_length, s), x, s)
+
+
+def _scored(df: DataFrame, x: str, s: Settings) -> DataFrame:
     std = rolling_std(x, s.lookback, s)
     df = df.withColumn(f"{x}_std", std)
     return df.withColumn(
@@ -157,15 +159,18 @@ def combined_score(method: str, a: Column, b: Column, wa: float = 0.5, wb: float
     return (a + b) / 2
 
 
+def _cross(before: Column, now: Column, s: Settings) -> Column:
+    """1 on an upward cross of the long level, 0 on a downward cross of the short level."""
+    return F.when((before <= s.long_level) & (now > s.long_level), 1).when(
+        (before >= s.short_level) & (now < s.short_level), 0
+    )
+
+
 def signals(df: DataFrame, s: Settings, z: str = "combined_zscore") -> DataFrame:
     """Enter on an upward cross of the long level, leave on a downward cross of
     the short level.  One row cannot be both, and a cross into the state already
     held changes nothing, so the position is the last cross seen."""
-    now, before = F.col(z), F.lag(z).over(s.series)
-    cross = F.when((before <= s.long_level) & (now > s.long_level), 1).when(
-        (before >= s.short_level) & (now < s.short_level), 0
-    )
-    df = df.withColumn("_cross", cross)
+    df = df.withColumn("_cross", _cross(F.lag(z).over(s.series), F.col(z), s))
     seen = s.series.rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("position", F.coalesce(F.last("_cross", True).over(seen), F.lit(0)))
     return df.withColumn(
@@ -176,9 +181,9 @@ def signals(df: DataFrame, s: Settings, z: str = "combined_zscore") -> DataFrame
 def equity(df: DataFrame, s: Settings, price: str = "close") -> DataFrame:
     """Value before the trade of the row, buy & hold and both (cumulative) returns."""
     seen = s.series.rowsBetween(Window.unboundedPreceding, 0)
-    p, before = F.col(price), F.lag(price).over(s.series)
+    p, earlier = F.col(price), F.lag(price).over(s.series)
     held = F.lag("position").over(s.series) == 1
-    df = df.withColumn("_growth", F.when(held, p / before).otherwise(F.lit(1.0)))
+    df = df.withColumn("_growth", F.when(held, p / earlier).otherwise(F.lit(1.0)))
     df = df.withColumn("portfolio_value", s.capital * F.product("_growth").over(seen)).withColumn(
         "buy_hold_value", s.capital / F.first(price).over(seen) * p
     )
@@ -204,6 +209,58 @@ def run(daily: DataFrame, s: Settings = Settings()) -> DataFrame:
     return equity(signals(df, s), s)
 
 
+ROWS_PER_SLICE = 50_000
+
+
+def run_sliced(bars: DataFrame, s: Settings = Settings(), rows: int = ROWS_PER_SLICE) -> DataFrame:
+    """:func:`run` for long series of many symbols: bars (symbol, unix_timestamp, close, mvrv, nupl, ...).
+
+    Each symbol is cut into slices of ``rows`` rows.  Finite frames get the rows before a slice.
+    A slice turns the position before it into one behind it (it keeps it, or its last cross
+    decides), and multiplies the portfolio by its growth; these maps are combined over the
+    slices before, one row a slice.  Same columns as :func:`run`, without ``date``.
+    """
+    by = ["symbol"]
+    numeric = [c for c in ("open", "high", "low", "close", "volume", "mvrv", "nupl") if c in bars.columns]
+    df = interpolated(cut(bars, rows), by, "unix_timestamp", numeric)
+    if s.ma_type in ("EMA", "DEMA"):
+        levels = 1 if s.ma_type == "EMA" else 2
+        df = df.withColumn("date", F.col("unix_timestamp"))
+        for x in ("mvrv", "nupl"):
+            df = exponential_means(df, x, s.ma_length, levels, replace(s, by=by))
+            value = F.col("_e1") if levels == 1 else 2 * F.col("_e1") - F.col("_e2")
+            df = df.withColumn(f"{x}_ma", value).drop("_e1", "_e2")
+        df = df.drop("date")
+    # the last overlapping row needs whole frames too, as the first own row looks back on it
+    df = with_overlap(df, rows, max(s.ma_length, s.lookback) + 1).withColumn("date", F.col(ROW_NUMBER))
+    inside = replace(s, by=[*by, SLICE])
+    for x in ("mvrv", "nupl"):
+        df = zscore(df, x, inside) if f"{x}_ma" not in df.columns else _scored(df, x, inside)
+    df = df.withColumn("combined_zscore", combined_score(
+        s.combine, F.col("mvrv_zscore"), F.col("nupl_zscore"), s.mvrv_weight, s.nupl_weight))
+    now, last = F.col("combined_zscore"), F.lag("combined_zscore").over(inside.series)
+    df = df.withColumn("_cross", _cross(last, now, s)).withColumn("_p1", F.lag("close").over(inside.series)).filter(~F.col(OVERLAP))
+
+    at = F.struct(ROW_NUMBER, "_cross")
+    df = carried(df, by, {"_cross_last": F.max(F.when(F.col("_cross").isNotNull(), at))["_cross"]},
+                 {"_held": F.coalesce(F.last("_cross_last", True).over(before(by)), F.lit(0))})
+    seen = inside.series.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("position", F.coalesce(F.last("_cross", True).over(seen), F.col("_held")))
+    df = df.withColumn("_was", F.coalesce(F.lag("position").over(inside.series), F.col("_held")))
+    df = df.withColumn("signal", F.col("position") - F.col("_was"))
+    df = df.withColumn("_growth", F.when(F.col("_was") == 1, F.col("close") / F.col("_p1")).otherwise(F.lit(1.0)))
+    df = carried(df, by, {"_product": F.product("_growth"), "_start": F.min_by("close", ROW_NUMBER)}, {
+        "_before": F.coalesce(F.product("_product").over(before(by)), F.lit(1.0)),
+        "_p0": F.first("_start").over(Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, 0))})
+    grown = F.col("_before") * F.product("_growth").over(seen)
+    later = F.col(ROW_NUMBER) > 0
+    df = df.select(
+        "*", (s.capital * grown).alias("portfolio_value"), (s.capital / F.col("_p0") * F.col("close")).alias("buy_hold_value"),
+        F.when(later, F.col("_growth") - 1).alias("strategy_returns"), F.when(later & F.col("_p0").isNotNull(), F.col("close") / F.col("_p1") - 1).alias("buy_hold_returns"),
+        (grown - 1).alias("strategy_cum_returns"), F.coalesce(F.col("close") / F.col("_p0") - 1, F.lit(0.0)).alias("buy_hold_cum_returns"))
+    return df.drop("date", SLICE, ROW_NUMBER, OVERLAP, "_cross", "_p1", "_held", "_was", "_growth", "_before", "_p0")
+
+
 def last_signals(df: DataFrame, n: int = 4) -> DataFrame:
     """The newest ``n`` trades, newest first."""
     return (
