@@ -123,3 +123,20 @@ def test_backup_quotes_and_strips_commas(spark, tmp_path):
     sinks.backup_csv(df, str(tmp_path / "b"), "2024-01-31T05:00:00", ["source"])
     text = next((tmp_path / "b" / "folder=2024-01-31").glob("part-*.csv")).read_text()
     assert '"say ""hi""","a b"' in text
+
+
+def test_filtered_delta_equals_the_anti_join(spark, monkeypatch):
+    registry = spark.range(0, 200_000, 3).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"))
+    arrived = spark.range(0, 400, 1).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), "id").unionByName(
+        spark.createDataFrame([(None, -1), (None, -2), ("u1", 1)], "url string, id long"))
+    want = rows(keyed.missing_rows(arrived, registry, ["url"]), "id", "url")
+    found = keyed.delta(arrived, registry, "url")
+    assert rows(found, "id", "url") == want and len(want) == 269
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan
+    # what reaches the anti join: the registry's 134 keys that arrived and the few that share their bits
+    assert 134 <= keyed.possibly_held(registry, arrived.select("url").distinct(), "url").count() < 150
+    monkeypatch.setattr(keyed, "FILTER_KEYS", 10)
+    assert rows(keyed.delta(arrived, registry, "url"), "id", "url") == want
+    assert keyed.delta(arrived.limit(0), registry, "url").count() == 0
+    assert rows(keyed.delta(arrived, registry.limit(0), "url"), "id", "url") == rows(arrived, "id", "url")

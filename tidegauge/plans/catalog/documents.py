@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegauge.operators import documents as docs
+from tidegauge.operators.cells import CellIndex
 from tidegauge.plans.catalog import fixed, fixed_sql, query
-from tidegauge.session import spread, table
+from tidegauge.session import scratch_path, spread, table
 
 def pages_of(spark, sf_dir):
     return spread(table(spark, sf_dir, "pages").select("url", "html"))
@@ -134,6 +135,8 @@ s AS (SELECT query_id, vec_id, list_cosine_similarity(embedding::DOUBLE[], q) AS
 SELECT query_id, vec_id, {fixed_sql('score', 5)} AS score FROM s
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s.score DESC, vec_id) <= 10""")
 def _nearest(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("values"))
-    out = docs.nearest_each(vectors, vectors.filter("vec_id % 50 = 0"), 10, key="vec_id")
-    return out.select("query_id", "vec_id", fixed(F.col("score"), 5).alias("score"))
+    """From the stored index, all cells visited."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = CellIndex(spark, scratch_path(spark, "cells")).build(vectors, "vec_id", "embedding")
+    out = index.search(vectors.filter("vec_id % 50 = 0"), "vec_id", "embedding", 10)
+    return out.select("query_id", F.col("id").alias("vec_id"), fixed(F.col("score"), 5).alias("score"))

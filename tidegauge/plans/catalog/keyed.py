@@ -129,7 +129,7 @@ def _capped(spark, sf_dir):
 @query("J04_anti_join_delta", "SELECT page_id, url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 2 = 0)")
 def _delta(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return ops.missing_rows(pages, pages.filter("page_id % 2 = 0"), ["url"])
+    return ops.delta(pages, pages.filter("page_id % 2 = 0"), "url")
 
 
 @query("U04_set_difference", "SELECT o_custkey FROM orders EXCEPT SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0")
@@ -278,8 +278,9 @@ def _crawl(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     entry = lambda df, title: df.select("url", F.lit(title).alias("title"))
     registry = entry(pages.filter("page_id % 2 = 0"), "old")
-    fresh = ops.missing_rows(pages, registry, ["url"])
-    merged = ops.upsert(registry, entry(fresh, "new"), ["url"])
+    kept = kept_table(spark, registry, ["url"])
+    fresh = ops.delta(pages, kept.read(), "url")
+    merged = kept.read(kept.merge(entry(fresh, "new"), insert_only=True))
     return merged.agg(F.count(F.lit(1)).alias("known"), F.count_if(F.col("title") == "new").alias("fetched"))
 
 
