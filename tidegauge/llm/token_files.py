@@ -207,7 +207,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
                       text_col: str = "text", end_id: int | None = 2) -> None:
     """Encodes every whole text and writes blocks below path/blocks, the rank table below path/ranks.
 
-    Documents are in ascending id order (NULL first; equal ids by their ids' bytes). NULL and
+    Documents are in ascending id order (NULL first; equal ids by a hash of their ids, then by their bytes). NULL and
     empty texts hold the end id alone. An empty table writes empty tables. Each text is
     tokenized once; rank counts are partial sums per task; the range shuffle carries ids, not
     text; a task holds one block. The id column must be integer.
@@ -220,7 +220,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
     ids = read_ranks(spark, path)
     rank = np.zeros(int(ids.max()) + 1 if len(ids) else 1, dtype=np.uint32)
     rank[ids] = np.arange(len(ids))
-    ordered = tokens.repartitionByRange("doc", "ids").sortWithinPartitions("doc", "ids").select("doc", "width", "ids")
+    # ranges are drawn from a sample of their keys on the driver, so the ids' hash stands for them
+    hashed = tokens.withColumn("hash", F.xxhash64("ids"))
+    ordered = hashed.repartitionByRange("doc", "hash").sortWithinPartitions("doc", "hash", "ids").select("doc", "width", "ids")
     blocks = ordered.mapInArrow(_encode(spark.sparkContext.broadcast(rank)), "shard int, block long, n_ids long, bytes binary")
     blocks.write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
 
