@@ -31,11 +31,12 @@ WITH n AS (SELECT doc_id AS id, {EPOCH} + doc_id * {STEP} AS published_on,
 s0 AS (SELECT *, {score_sql('body')} AS score, {score_sql('title')} AS title_score FROM n),
 s AS (SELECT *, CASE WHEN score <= -0.6 THEN 'EXTREMELY FEAR' WHEN score <= -0.1 THEN 'FEAR'
   WHEN score < 0.1 THEN 'NEUTRAL' WHEN score < 0.6 THEN 'GREED' ELSE 'EXTREMELY GREED' END AS label FROM s0)"""
-COUNTS_SQL = f"""count(*) AS total_articles,
-  CAST(sum(CASE WHEN label IN ('GREED', 'EXTREMELY GREED') THEN 1 ELSE 0 END) AS BIGINT) AS positive_articles,
-  CAST(sum(CASE WHEN label = 'NEUTRAL' THEN 1 ELSE 0 END) AS BIGINT) AS neutral_articles,
-  CAST(sum(CASE WHEN label IN ('FEAR', 'EXTREMELY FEAR') THEN 1 ELSE 0 END) AS BIGINT) AS negative_articles,
-  avg(score) AS mean, (avg(score) + 1) / 2 * 100 AS idx"""
+# the three groups of labels that an index row counts
+_GROUPS = {"positive": ("GREED", "EXTREMELY GREED"), "neutral": ("NEUTRAL",), "negative": ("FEAR", "EXTREMELY FEAR")}
+COUNTS_SQL = ", ".join([
+    "count(*) AS total_articles",
+    *(f"count(*) FILTER (list_contains({list(names)}, label)) AS {group}_articles" for group, names in _GROUPS.items()),
+    "avg(score) AS mean", "(avg(score) + 1) / 2 * 100 AS idx"])
 
 
 def index_label_sql(x: str) -> str:
