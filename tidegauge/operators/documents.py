@@ -134,8 +134,9 @@ def long_enough(sections: DataFrame, kind: str) -> DataFrame:
     return sections.filter(~blank & (F.length("content") >= RULES[kind].min_chunk))
 
 
-def role_of(kind: str) -> str:
-    return "dbt (migration target)" if kind == "dbt" else "Informatica IICS (migration source)"
+def role_of(kind: str) -> str | None:
+    """Part of a page of this kind in a migration; other kinds have none."""
+    return {"dbt": "dbt (migration target)", "iics": "Informatica IICS (migration source)"}.get(kind)
 
 
 def chunk_text(kind: str, service: Column) -> Column:
@@ -164,7 +165,8 @@ def chunk_id(url: str = "url", idx: str = "idx") -> Column:
 def chunks(sections: DataFrame, kind: str, service: Column, scraped_at: Column) -> DataFrame:
     text = chunk_text(kind, service)
     return long_enough(sections, kind).select(
-        chunk_id().alias("id"), "url", service.alias("service"), F.lit(kind).alias("type"), "title",
+        chunk_id().alias("id"), "url", service.alias("service"), F.lit(kind).alias("type"),
+        F.lit(role_of(kind)).cast("string").alias("role"), "title",
         F.col("heading").alias("section"), F.substring(text, 1, EMBEDDED_CHARS).alias("embed_text"),
         F.substring(text, 1, PREVIEW_CHARS).alias("text"), scraped_at.alias("scraped_at"),
     )

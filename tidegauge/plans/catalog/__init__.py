@@ -57,5 +57,5 @@ def iso(column: str | Column) -> Column:
 
 def load_all() -> None:
     from tidegauge.plans.catalog import (  # noqa: F401
-        documents, keyed, market, news, series, sources, strategy, streams,
+        documents, keyed, loads, market, news, series, sources, strategy, streams,
     )

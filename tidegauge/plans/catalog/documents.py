@@ -121,6 +121,20 @@ def _truncated(spark, sf_dir):
     return out.select("id", "title", F.md5("embed_text").alias("embed_text"), "text")
 
 
+@query("D09_chunk_metadata", f"""{_SECTION_SQL}
+SELECT 'dbt' AS type, 'dbt (migration target)' AS role, md5(url || '_' || idx) AS id, url, service, title, heading AS section, '2024-01-01' AS scraped_at
+FROM s WHERE {_LONG} AND length(content) >= 50
+UNION ALL SELECT 'iics', 'Informatica IICS (migration source)', md5(url || '_' || idx), url, service, title, heading, '2024-01-01' FROM s WHERE {_LONG} AND length(content) >= 50
+UNION ALL SELECT 'aws', NULL, md5(url || '_' || idx), url, service, title, heading, '2024-01-01' FROM s WHERE {_LONG} AND length(content) >= 50""")
+def _metadata(spark, sf_dir):
+    """What is stored beside a chunk's vector, for pages with and without a part in a migration."""
+    rows, out = sections(spark, sf_dir), None
+    for kind in ("dbt", "iics", "aws"):
+        part = docs.chunks(rows, kind, F.col("service"), F.lit("2024-01-01")).drop("embed_text", "text")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("D10_embedding")
 def _embedded(spark, sf_dir):
     pages = docs.section_rows(docs.extract(pages_of(spark, sf_dir), "aws"))

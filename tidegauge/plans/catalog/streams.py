@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegauge.plans import fixtures
@@ -31,6 +32,19 @@ def _stream(spark, sf_dir):
     return rounded(spark.read.parquet(out).select("id", "sentiment_score", "sentiment_label"))
 
 
+@query("R01_analysis_time", f"{SCORED_SQL} SELECT id, {fixed_sql('score')} AS sentiment_score, id % 2 + 1 AS batch, true AS after_publication FROM s")
+def _analysis_time(spark, sf_dir):
+    """Articles of one batch share the time of their analysis; the second batch has a later one."""
+    landed, out, state = (scratch_path(spark, n) for n in ("landed", "scored", "state"))
+    for part in (0, 1):
+        drop(articles(spark, sf_dir), landed, part)
+        inc.append_scores(inc.news_stream(spark, landed), out, state).awaitTermination()
+    rows = spark.read.parquet(out)
+    times = rows.select("analyzed_at").distinct()  # one per batch
+    numbered = times.withColumn("batch", F.row_number().over(Window.orderBy("analyzed_at")).cast("long"))
+    return rounded(rows.join(F.broadcast(numbered), "analyzed_at").select("id", "sentiment_score", "batch", (F.col("analyzed_at") > F.col("published_datetime")).alias("after_publication")))
+
+
 def streamed_index(spark, sf_dir, unit: str):
     landed, out, state = (scratch_path(spark, n) for n in ("landed", "index", "state"))
     for part in (0, 1):

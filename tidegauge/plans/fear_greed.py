@@ -21,6 +21,11 @@ def score_news(news: DataFrame, scorer: Scorer = lexicon_score) -> DataFrame:
     return scored.withColumn("sentiment_label", sentiment_label(F.col("sentiment_score")))
 
 
+def stamped(scored: DataFrame, now: Column | None = None) -> DataFrame:
+    """Sentiment rows as they are stored, with the time of their analysis: one for a batch."""
+    return scored.withColumn("analyzed_at", F.current_timestamp() if now is None else now)
+
+
 def _counts() -> list[Column]:
     label = F.col("sentiment_label")
     return [

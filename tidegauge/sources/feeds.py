@@ -178,15 +178,18 @@ def kline_columns(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def read_price_csv(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+def read_price_csv(spark: SparkSession, path: str, by: list[str] | None = None, order: str | None = None) -> DataFrame:
     """(date, close) from a CSV with a Date/Close header; bad or short rows are skipped.
-    ``by`` names columns of a partitioned folder to keep."""
+    ``by`` names columns of a partitioned folder to keep, ``order`` a column for a row's place
+    in the files (by name, then by line)."""
     rows = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
     names = {name.strip().lower(): name for name in rows.columns}
     if not {"date", "close"} <= set(names) or rows.isEmpty():
         raise ValueError("CSV history needs a Date/Close header and at least one row")
+    # ids grow within the part of a file that one task reads
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
     return rows.select(
-        *(by or []), F.try_to_date(F.trim(F.col(names["date"])), "yyyy-MM-dd").alias("date"),
+        *(by or []), *([place.alias(order)] if order else []), F.try_to_date(F.trim(F.col(names["date"])), "yyyy-MM-dd").alias("date"),
         F.expr(f"try_cast(trim(`{names['close']}`) as double)").alias("close"),
     ).filter(F.col("date").isNotNull() & F.col("close").isNotNull())
 

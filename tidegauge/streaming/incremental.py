@@ -18,7 +18,7 @@ from tidegauge.operators.recursive import (
     OUTPUTS, PASSED, Plan, add_recursive, closing_states, segment_ends, starting_states,
 )
 from tidegauge.operators.segments import ROWS_PER_SEGMENT, TAIL, Segmented, drop_halo, resume, segment
-from tidegauge.plans.fear_greed import score_news
+from tidegauge.plans.fear_greed import score_news, stamped
 from tidegauge.plans.indicators import indicators
 from tidegauge.session import cut_lineage
 from tidegauge.sources.snapshots import SnapshotTable, by_month
@@ -40,10 +40,10 @@ def append_scores(
     news: DataFrame, out: str, checkpoint: str, scorer: Scorer = lexicon_score,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Score new articles into ``out``, once each; ``every`` runs on an interval,
-    otherwise whatever has arrived is processed and the query ends."""
+    """Score new articles into ``out``, once each, with the time of their batch; ``every`` runs on
+    an interval, otherwise whatever has arrived is processed and the query ends."""
     writer = (
-        score_news(news, scorer).writeStream.format("parquet").outputMode("append")
+        stamped(score_news(news, scorer)).writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
