@@ -11,6 +11,7 @@ from tests.llm.conftest import ODD_TEXTS
 from tidegauge.llm import queries as Q
 from tidegauge.llm.learned_index import balanced_parts, learn, nearest, neighbour_graph
 from tidegauge.llm.quality import held_out, learn_rules, score_quality, statistics, train_quality
+from tidegauge.llm import toxicity
 from tidegauge.llm.toxicity import Network, Vocabulary, score_toxicity, train_toxicity, windows_of, words_of
 
 SF = "/root/testdata/sf0.1"
@@ -118,6 +119,39 @@ def test_score_is_that_of_the_most_toxic_window():
     assert np.isclose(net.score([text])[0], max(alone), atol=1e-5)
 
 
+def test_a_step_takes_the_highest_windows_of_a_long_text(monkeypatch):
+    monkeypatch.setattr(toxicity, "STEP_WINDOWS", 3)
+    net, texts = Network(3), [[b"w%d" % (i * i % 91) for i in range(n)] for n in (200, 30, 0, 120)]
+    words, flat, count = toxicity._numbered(texts)
+    first, size, owner = toxicity._lanes(count)
+    kept = toxicity._highest(net, net.inputs(Vocabulary.of(words)), np.concatenate([flat, np.zeros(24, np.int64)]), first, size, owner)
+    assert (np.diff(kept) > 0).all()
+    for i, text in enumerate(texts):
+        own = np.flatnonzero(owner == i)
+        best = np.array([net.score([text[a:a + 24]])[0] for a in windows_of(len(text))])
+        assert set(kept[owner[kept] == i]) == set(own[np.argsort(-best)[:3]])
+
+
+def test_long_texts_train_within_the_bytes(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    plain = lambda n: " ".join(f"plain{i}" for i in rng.integers(0, 300, n))
+    rows = [(i, plain(400) + (" you vile stupid fool " if i % 2 else " ") + plain(400)) for i in range(100)]
+    docs = spark.createDataFrame(rows + rows[:5] + [(3, "x" * 100_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    assert min(len(t) for _, t in rows) > 4000
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, prior: seen.append((texts, y)) or train(texts, y, prior))
+    rest = score_toxicity(docs, train_toxicity(docs, labels)).filter("doc_id >= 60").toPandas()
+    texts, y = seen[0]
+    assert sorted(texts) == sorted(t for i, t in rows if i < 60) and y.sum() == 30  # each id once
+    assert auc(rest.score.to_numpy(), (rest.doc_id % 2).to_numpy()) > 0.9
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, prior: seen.append((texts, y)))
+    train_toxicity(docs, labels, sample_bytes=50_000)
+    sizes = np.array([len(t) for t in seen[1][0]])
+    assert all(40_000 < sizes[seen[1][1] == k].sum() <= 50_000 for k in (0, 1))
+
+
 def test_every_offset_is_scored():
     net = Network(3)
     net.p["out"] *= 3

@@ -21,8 +21,12 @@ from pyspark.sql import types as T
 WINDOW, STRIDE = 24, 16
 WORD_BITS, GRAM_BITS = 15, 13
 WORD_DIM, GRAM_DIM, HIDDEN = 8, 8, 8
-#: Labelled documents of either class that are drawn for training; those above SAMPLE_BYTES are only scored.
-SAMPLE, SAMPLE_BYTES = 2000, 4000
+#: Labelled documents of either class that are drawn for training, of any length, and the bytes that they may have together.
+SAMPLE, SAMPLE_BYTES = 2000, 4 << 20
+#: Windows of a text, those of the highest logits, that a training step goes back through; all are read.
+STEP_WINDOWS = 48
+#: Texts of either class from which the growth of the logit is taken, see _rise.
+RISE_TEXTS = 500
 THRESHOLD = 0.3
 BATCH_BYTES = 1 << 20
 
@@ -269,10 +273,51 @@ def _weigh_tables(net: Network, texts: list[list[bytes]], y: np.ndarray) -> None
     net.p["gram"][:, 0] += table(v.gram, *share, 1 << GRAM_BITS).astype(np.float32)
 
 
+def _point_up(net: Network, texts: list[list[bytes]]) -> None:
+    """Turns the output's sign if windows of words that go with label 1 have the lower logits at the start.
+
+    The gradient reaches a text's highest windows; where the telling ones begin lowest, a long text would
+    never show them.
+    """
+    logits, odds = [], []
+    for at in range(0, len(texts), 32):
+        words, flat, count = _numbered(texts[at:at + 32])
+        x = net.inputs(Vocabulary.of(words))
+        first, size, _ = _lanes(count)
+        flat = np.concatenate([flat, np.zeros(WINDOW, np.int64)])
+        for block in range(0, len(first), 8192):
+            some = slice(block, block + 8192)
+            mask = np.arange(WINDOW) < size[some, None]
+            ids = np.where(mask, flat[first[some, None] + np.arange(WINDOW)], 0)
+            logits.append(net.forward(x, ids, mask)[0])
+            odds.append(x[ids, 0].sum(axis=1) + x[ids, WORD_DIM].sum(axis=1))
+    a, b = np.concatenate(logits), np.concatenate(odds)
+    if ((a - a.mean()) * (b - b.mean())).sum() < 0:
+        net.p["out"] *= -1
+
+
+def _highest(net: Network, x: np.ndarray, flat: np.ndarray, first: np.ndarray, size: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Numbers of the windows, in order, without those behind the STEP_WINDOWS highest logits of a long text."""
+    many = np.bincount(owner) > STEP_WINDOWS
+    if not many.any():
+        return np.arange(len(owner))
+    looked = np.flatnonzero(many[owner])
+    logit = np.empty(len(looked))
+    for at in range(0, len(looked), 8192):
+        some = looked[at:at + 8192]
+        mask = np.arange(WINDOW) < size[some, None]
+        logit[at:at + 8192] = net.forward(x, np.where(mask, flat[first[some, None] + np.arange(WINDOW)], 0), mask)[0]
+    order = np.lexsort((-logit, owner[looked]))
+    text = owner[looked][order]
+    place = np.arange(len(order)) - np.searchsorted(text, text)
+    return np.sort(np.concatenate([np.flatnonzero(~many[owner]), looked[order[place < STEP_WINDOWS]]]))
+
+
 def train(texts: list[str], y: np.ndarray, prior: float, epochs: int = 6, seed: int = 6) -> Network:
     """Network from texts and labels; prior is the share of label 1 that scores should assume.
 
-    A text's logit is the soft maximum over its windows, so the label of a text is enough.
+    A text's logit is the soft maximum over its windows (of a long text, over the STEP_WINDOWS
+    highest of them in each step), so the label of a text is enough.
     With no text, or one class only, all scores equal the prior.
     """
     net, rng = Network(seed), np.random.default_rng(seed)
@@ -283,6 +328,7 @@ def train(texts: list[str], y: np.ndarray, prior: float, epochs: int = 6, seed:
         net.shift = float(np.log(rate / (1 - rate)))
         return net
     _weigh_tables(net, cut, y)
+    _point_up(net, [cut[i] for k in (0, 1) for i in np.flatnonzero(y == k)[:64]])
     first_moment = {k: np.zeros_like(v) for k, v in net.p.items()}
     second_moment = {k: np.zeros_like(v) for k, v in net.p.items()}
     step, size = 0, 32
@@ -296,8 +342,10 @@ def train(texts: list[str], y: np.ndarray, prior: float, epochs: int = 6, seed:
             v = Vocabulary.of(words)
             x = net.inputs(v)
             begin, held_words, owner = _lanes(count)
-            mask = np.arange(WINDOW) < held_words[:, None]
             flat = np.concatenate([flat, np.zeros(WINDOW, np.int64)])
+            kept = _highest(net, x, flat, begin, held_words, owner)
+            begin, held_words, owner = begin[kept], held_words[kept], owner[kept]
+            mask = np.arange(WINDOW) < held_words[:, None]
             ids = np.where(mask, flat[begin[:, None] + np.arange(WINDOW)], 0)
             logit, held = net.forward(x, ids, mask, keep=True)
             top = np.full(len(some), -np.inf)
@@ -326,7 +374,8 @@ def train(texts: list[str], y: np.ndarray, prior: float, epochs: int = 6, seed:
 
 def _rise(net: Network, texts: list[list[bytes]], y: np.ndarray, rate: float) -> float:
     """Mean growth of the logit when a maximum is over all windows and not only those of training; classes weighed by rate."""
-    grown = []
+    some = np.concatenate([np.flatnonzero(y > 0.5)[:RISE_TEXTS], np.flatnonzero(y <= 0.5)[:RISE_TEXTS]])
+    texts, y, grown = [texts[i] for i in some], y[some], []
     for at in range(0, len(texts), 100):
         low, high = (np.clip(f(texts[at:at + 100]), 1e-9, 1 - 1e-9) for f in (net.score, net.score_all))
         grown.append(np.log(high / (1 - high)) - np.log(low / (1 - low)))
@@ -345,15 +394,23 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """Network learned from labelled documents; unlabelled ones and NULL labels are passed over.
 
     Of each class the `sample` labelled ids of smallest hash are drawn and broadcast (two
-    numbers each), so no text is shuffled; of their texts those of at most `sample_bytes` bytes come to the
-    driver. Longer texts serve only to be scored.
+    numbers each), so no text is shuffled. In order of the hash, whole texts of any length are taken
+    while those of a class have at most `sample_bytes` bytes together; a text that would exceed this is
+    passed over. An id that documents hold several times gives its shortest text.
     """
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).dropna().dropDuplicates(["_id"])
     drawn = [marked.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample) for y in (0, 1)]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_d"), text.alias("_t")).filter(F.octet_length("_t") <= sample_bytes)
-    rows = rows.join(F.broadcast(drawn[0].union(drawn[1])), F.col("_d") == F.col("_id")).select("_d", "_y", "_t")
-    got = sorted((r["_d"], r["_y"], r["_t"]) for r in rows.collect())
+    rows = docs.select(F.col(f"`{id_col}`").alias("_d"), text.alias("_t"), F.octet_length(text).alias("_size"))
+    sizes = rows.join(F.broadcast(drawn[0].union(drawn[1])), F.col("_d") == F.col("_id")).groupBy("_id", "_y").agg(F.min("_size").alias("_bytes"))
+    left, taken = {0: sample_bytes, 1: sample_bytes}, []
+    for r in sizes.orderBy(F.xxhash64("_id"), "_id").collect():  # at most two samples of three numbers
+        if r["_bytes"] <= left[r["_y"]]:
+            left[r["_y"]] -= r["_bytes"]
+            taken.append((r["_id"], r["_y"], r["_bytes"]))
+    chosen = docs.sparkSession.createDataFrame(taken, sizes.schema)
+    texts = rows.join(F.broadcast(chosen), (F.col("_d") == F.col("_id")) & (F.col("_size") == F.col("_bytes")))
+    got = sorted((r["_id"], r["_y"], r["_t"]) for r in texts.groupBy("_id", "_y").agg(F.min("_t").alias("_t")).collect())
     prior = marked.agg(F.avg("_y")).first()[0]
     return train([t for _, _, t in got], np.array([y for _, y, _ in got], dtype=np.float64), 0.5 if prior is None else prior)
 
