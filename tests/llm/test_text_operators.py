@@ -149,6 +149,8 @@ def test_encoder_equals_the_library():
     rng = random.Random(1)
     letters = "ab '\n\t 1½.! 日<|>\x1c\x85é,  "
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + ["<|endoftext|> a<|endoftext|>", "it's don't  'll"]
+    parts = ["a", "Été", "word", "9", "'", "'s", "_", ".", "***", "\n", "\n\n", "\n\n\n", " ", "  ", "\u3000", "\u0301", "!", "ʰ", "Ⅷ", "<|endoftext|>", ".\nThe"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(6000)]
     want = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
     for _ in range(2):
         assert [np.frombuffer(r, encoder.kind).tolist() for r in encoder.encode(texts)] == want

@@ -14,6 +14,7 @@ nothing behind; shards are ranges of the document id in ascending order.
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,14 +33,17 @@ from tidegauge.llm.common import stored
 MAGIC, HEAD = b"TGB1", struct.Struct("<4sIQI")
 #: Ids after which a block is closed; a document is never cut.
 BLOCK_IDS = 1 << 18
-#: Distinct pieces of text in a generation of a Python worker's memory; it holds two generations.
+#: Distinct words in a generation of a Python worker's memory; it holds two generations.
 MEMO = 700_000
+#: Characters of texts that are encoded together (a text is never cut).
+GROUP_CHARS = 4 << 20
 
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 _BETWEEN = regex.compile(r"(?<=\S) (?=\S)")
 #: White space other than space and line feed: the texts that hold it take the careful cut.
 _ODD_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CLOSING = tuple(".,!?;:")
+#: ASCII marks, none of them a letter, digit or white space.
+_MARKS = string.punctuation
 
 
 def compress(ranks: np.ndarray) -> bytes:
@@ -66,11 +71,13 @@ def expand(raw: bytes, n: int) -> np.ndarray:
 
 
 class Encoder:
-    """The tokenizers library with a memory of the pieces it has encoded.
+    """The tokenizers library with a memory of the words it has encoded.
 
-    A single space between two other characters always starts a token, so the ids of a text
-    are those of its pieces, cut before each such space. New pieces are encoded together and
-    told apart by the bytes that each token stands for.
+    A single space or line feed between two other characters always starts a token, and a word of
+    letters shares none with the marks behind it. So a text is cut before its spaces and feeds, and
+    a piece is a word and the marks behind it. Arrow cuts the texts and numbers distinct words and
+    marks; new words are encoded together and told apart by the bytes that each token stands for;
+    numpy lays the ids end to end.
     """
 
     _held: dict[str, Encoder] = {}
@@ -86,7 +93,7 @@ class Encoder:
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.marks = {mark: self._whole(mark) for mark in _CLOSING}
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -97,42 +104,91 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Pieces without their leading space, none empty, none beginning or ending with white space.
-
-        A word of letters and one closing mark never share a token, so their ids are put together.
-        """
-        closed = {p for p in pieces if p[-1] in _CLOSING and p[:-1].isalpha()}
-        words = {p[:-1] for p in closed} - self.memo.keys()
-        pieces = list(dict.fromkeys(chain((p for p in pieces if p not in closed), words)))
-        for i in range(0, len(pieces), 512):
-            some = pieces[i:i + 512]
-            ids = np.array(self.library.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype=self.kind)
-            ends = np.cumsum([len(p.encode()) + 1 for p in some])
-            cut = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
-            raw, width, at = ids.tobytes(), ids.itemsize, 0
-            for piece, to in zip(some, cut.tolist(), strict=True):
-                self.memo[piece] = raw[at * width:to * width]
+    def _learn(self, words: list[str]) -> None:
+        """Words without their leading space, or with a leading line feed; none empty."""
+        for i in range(0, len(words), 128):
+            told = [w if w[0] == "\n" else " " + w for w in words[i:i + 128]]
+            ids = np.array(self.library.encode_batch_fast(["".join(told)], add_special_tokens=False)[0].ids, dtype=self.kind)
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, told)), np.int64, len(told)))
+            cut = (np.searchsorted(np.cumsum(self.width[ids]), ends) + 1) * ids.itemsize
+            raw, at = ids.tobytes(), 0
+            for word, to in zip(words[i:i + 128], cut.tolist(), strict=True):
+                self.memo[word] = raw[at:to]
                 at = to
-        for p in closed:
-            self.memo[p] = self.memo[p[:-1]] + self.marks[p[-1]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            if "  " in text or " \n" in text or "\n " in text or text[-1:] == " " or text[:1] == " " or _ODD_SPACE.search(text):
-                first, *rest = _BETWEEN.split(text)
-            else:
-                first, *rest = text.split(" ")
-            cut.append((first, rest))
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
         if len(self.memo) > MEMO:
             self.older, self.memo = self.memo, {}
-        memo, older = self.memo, self.older
-        unknown = dict.fromkeys(chain.from_iterable(rest for _, rest in cut)).keys() - memo.keys()
-        for p in unknown & older.keys():
-            memo[p] = older[p]
-        self._learn(list(unknown - older.keys()))
-        return [(self._whole(first) if first else b"") + b"".join(map(memo.__getitem__, rest)) for first, rest in cut]
+        if "\n" not in self.memo:  # would share a token with white space at the end of the word before it
+            self.memo["\n"] = self._whole("\n")
+        memo, older, new = self.memo, self.older, []
+        for w in words:
+            if w not in memo:
+                if w in older:
+                    memo[w] = older[w]
+                else:
+                    new.append(w)
+        self._learn(new)
+        return list(map(memo.__getitem__, words))
+
+    def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
+        """Ids of each text as bytes, `end` behind them."""
+        if not texts:
+            return []
+        odd = np.fromiter((_is_odd(t) or any(s in t for s in self.special) for t in texts), bool, len(texts))
+        order = np.argsort(odd, kind="stable")
+        even = pa.array([t for t, o in zip(texts, odd.tolist(), strict=True) if not o], pa.large_string())
+        even = pc.split_pattern(pc.replace_substring(even, "\n", " \n"), " ")
+        careful = [_BETWEEN.split(t) for t, o in zip(texts, odd.tolist(), strict=True) if o]
+        flat = pa.concat_arrays([even.flatten(), pa.array(list(chain.from_iterable(careful)), pa.large_string())])
+        count = np.concatenate([np.diff(even.offsets.to_numpy()), np.array([len(c) for c in careful], np.int64)])
+        leads = np.zeros(len(flat), bool)
+        leads[np.cumsum(count) - count] = True
+        first = flat.filter(pa.array(leads)).to_pylist()
+        pieces = flat.filter(pa.array(~leads)).dictionary_encode()
+        word, marks = (c.dictionary_encode() for c in _word_and_marks(pieces.dictionary))
+        raws = self._known(word.dictionary.to_pylist())
+        held = len(raws)
+        raws += [self._whole(m) if m else b"" for m in marks.dictionary.to_pylist()]
+        kind = pieces.indices.to_numpy()
+        both = np.stack([word.indices.to_numpy()[kind], marks.indices.to_numpy()[kind] + held], axis=1).reshape(-1)
+        begin = 2 * (np.cumsum(count) - count) - np.arange(len(count))  # a first piece is one entry, others are two
+        codes = np.empty(len(both) + len(first), np.int64)
+        inner = np.ones(len(codes), bool)
+        inner[begin] = False
+        codes[inner], codes[begin] = both, np.arange(len(raws), len(raws) + len(first))
+        raws += [self._whole(f) if f else b"" for f in first]
+        size = np.fromiter(map(len, raws), np.int64, len(raws)) // np.dtype(self.kind).itemsize
+        table, start, size = np.frombuffer(b"".join(raws), self.kind), (np.cumsum(size) - size)[codes], size[codes]
+        after = np.cumsum(size)
+        ids = table[np.repeat(start - after + size, size) + np.arange(int(after[-1]))]
+        edges = [*(after - size)[begin].tolist(), len(ids)]
+        out = [b""] * len(texts)
+        for i, text in enumerate(order.tolist()):
+            out[text] = ids[edges[i]:edges[i + 1]].tobytes() + end
+        return out
+
+
+def _is_odd(text: str) -> bool:
+    """White space beyond single spaces, and single or double line feeds, between other characters."""
+    return (
+        "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text[:1] == " " or text[-1:] == " "
+        or text[-2:] == "\n\n" or _ODD_SPACE.search(text) is not None)
+
+
+def _word_and_marks(pieces: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The word of letters that a piece begins with and the ASCII marks that are the rest of it; else the piece and nothing."""
+    word = pc.utf8_rtrim(pieces, _MARKS)
+    word = pc.if_else(pc.utf8_is_alpha(pc.utf8_ltrim(word, "\n")), word, pieces)
+    length = pc.binary_length(pieces).to_numpy()
+    size = length - pc.binary_length(word).to_numpy()
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+    after = np.cumsum(size)
+    to = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, 8 * pieces.offset)[1:] if len(pieces) else size
+    cut = data[np.repeat(to - after, size) + np.arange(int(size.sum()))]
+    marks = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(np.append(0, after)), pa.py_buffer(np.ascontiguousarray(cut)))
+    return word, marks
 
 
 def _tokenize(path: str, end_id: int | None):
@@ -141,14 +197,19 @@ def _tokenize(path: str, end_id: int | None):
         end = b"" if end_id is None else np.array([end_id], dtype=encoder.kind).tobytes()
         width = np.dtype(encoder.kind).itemsize
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [str(t or "") for t in part.column(1).to_pylist()]
-                raw = [ids + end for ids in encoder.encode(texts)]
+            texts = [str(t or "") for t in batch.column(1).to_pylist()]
+            at = 0
+            while at < len(texts):
+                to, held = at, 0
+                while to < len(texts) and held < GROUP_CHARS:
+                    held += len(texts[to])
+                    to += 1
+                raw = encoder.encode(texts[at:to], end)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(r) // width for r in raw], pa.int64()),
+                    [batch.column(0).slice(at, to - at), pa.array([len(r) // width for r in raw], pa.int64()),
                      pa.array([width] * len(raw), pa.int32()), pa.array(raw, pa.binary())],
                     names=["doc", "n", "width", "ids"])
+                at = to
 
     return run
 
@@ -156,8 +217,11 @@ def _tokenize(path: str, end_id: int | None):
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1, dtype=np.int64)
     for batch in batches:
+        raws: dict[int, list[bytes]] = {}
         for width, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen = np.bincount(np.frombuffer(raw, f"<u{width}"))
+            raws.setdefault(width, []).append(raw)
+        for width, some in raws.items():
+            seen = np.bincount(np.frombuffer(b"".join(some), f"<u{width}"))
             if len(seen) > len(total):
                 total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
             total[:len(seen)] += seen
