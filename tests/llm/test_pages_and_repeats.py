@@ -154,6 +154,19 @@ def test_repeats_query_against_brute_force(spark):
     assert sorted(map(tuple, Q.op9(spark, sf).collect())) == sorted(brute.repeats(docs))
 
 
+def test_copies_of_a_text_are_cut_once(spark, docs_of, monkeypatch):
+    rng = random.Random(9)
+    shared, cut = "".join(rng.choice("abcdé \n") for _ in range(150)), []
+    texts = [f"{i} " + "".join(rng.choice("abcdé \n") for _ in range(60)) + shared + f" {i}" for i in range(3)]
+    rows = [(i, texts[0]) for i in range(400)] + [(1000, texts[1]), (1001, texts[2])]
+    keep = repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda df, name: cut.append(keep(df, name)) or cut[-1])
+    out = remove_repeats(docs_of(rows).repartition(4), length=96)
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), brute.sha(bytes(r["kept"]))) for r in out.collect()]
+    assert sorted(got) == sorted(brute.repeats(rows, 96))
+    assert cut[-1].count() == cut[-1].select("f1", "f2").distinct().count()
+
+
 def test_repeats_on_odd_rows(spark, docs_of):
     got = [(r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), brute.sha(bytes(r["kept"]))) for r in remove_repeats(docs_of(ODD_TEXTS)).collect()]
     assert sorted(got, key=repr) == sorted(brute.repeats(ODD_TEXTS), key=repr)

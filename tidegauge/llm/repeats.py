@@ -224,7 +224,8 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         .groupBy(F.col("place.t").alias("t"))
         .agg(F.collect_list(F.struct("g", "f1", "f2", "at", (F.col("kinds") > GROUP).alias("hot"),
                                      F.col("place.start").alias("start"), "windows")).alias("wanted")))
-    bodies = docs.select(_digest(text).alias("t"), text.alias("text"))
+    # copies are equal texts: each map task hands on one of them
+    bodies = docs.select(_digest(text).alias("t"), text.alias("text")).groupBy("t").agg(F.any_value("text").alias("text"))
     cut = bodies.join(wanted, "t").select("text", "wanted").mapInArrow(
         _slice(length), "g long, f1 long, f2 long, at int, hot boolean, bytes binary")
     cut = stored(cut, "cut")
