@@ -138,18 +138,29 @@ def _difference(spark, sf_dir):
     return orders.select("o_custkey").subtract(orders.filter("o_orderkey % 2 = 0").select("o_custkey"))
 
 
+# several pages may have one url, and a page may come several times
+PAGE = ["url", "page_id"]
+
+
+def page_entries(spark, sf_dir):
+    """Each page once, with the number of its rows."""
+    return table(spark, sf_dir, "pages").groupBy(*PAGE).agg(F.count(F.lit(1)).alias("copies"))
+
+
 @query("K08_registry_append", """
 SELECT url, '2024-02-01' AS scraped_at, CASE WHEN page_id % 3 = 0 THEN 'new' ELSE 'old' END AS title,
   'dbt' AS type FROM pages WHERE page_id % 3 = 0
 UNION ALL SELECT url, '2024-01-01', 'old', 'dbt' FROM pages WHERE page_id % 3 <> 0 AND page_id % 2 = 0""")
 def _registry(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = page_entries(spark, sf_dir)
     entry = lambda df, day, title: df.select(
-        "url", F.lit(day).alias("scraped_at"), F.lit(title).alias("title"), F.lit("dbt").alias("type")
+        *PAGE, "copies", F.lit(day).alias("scraped_at"), F.lit(title).alias("title"), F.lit("dbt").alias("type")
     )
     registry = entry(pages.filter("page_id % 2 = 0"), "2024-01-01", "old")
-    kept = kept_table(spark, registry, ["url"])
-    return kept.read(kept.merge(entry(pages.filter("page_id % 3 = 0"), "2024-02-01", "new")))
+    kept = kept_table(spark, registry, PAGE)
+    merged = kept.read(kept.merge(entry(pages.filter("page_id % 3 = 0"), "2024-02-01", "new")))
+    each = merged.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return each.select("url", "scraped_at", "title", "type")
 
 
 def _like(words, negate=False):
