@@ -29,3 +29,7 @@ def same_as_sql(spark, folder, name):
 
 def test_pages_of_one_url_are_entries_of_their_own(spark, folder):
     assert same_as_sql(spark, folder, "K08_registry_append")
+
+
+def test_pages_of_one_url_are_fetched_one_by_one(spark, folder):
+    assert same_as_sql(spark, folder, "R07_delta_crawl_registry")

@@ -286,13 +286,14 @@ def _missing_ranges(spark, sf_dir):
 @query("R07_delta_crawl_registry", """
 SELECT count(*) AS known, count(*) FILTER (WHERE page_id % 2 = 1) AS fetched FROM pages""")
 def _crawl(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    entry = lambda df, title: df.select("url", F.lit(title).alias("title"))
+    pages = page_entries(spark, sf_dir)
+    entry = lambda df, title: df.select(*PAGE, "copies", F.lit(title).alias("title"))
     registry = entry(pages.filter("page_id % 2 = 0"), "old")
-    kept = kept_table(spark, registry, ["url"])
-    fresh = ops.delta(pages, kept.read(), "url")
+    kept = kept_table(spark, registry, PAGE)
+    fresh = ops.delta(pages, kept.read(), *PAGE)
     merged = kept.read(kept.merge(entry(fresh, "new"), insert_only=True))
-    return merged.agg(F.count(F.lit(1)).alias("known"), F.count_if(F.col("title") == "new").alias("fetched"))
+    rows = lambda copies: F.coalesce(F.sum(copies), F.lit(0))
+    return merged.agg(rows("copies").alias("known"), rows(F.when(F.col("title") == "new", F.col("copies"))).alias("fetched"))
 
 
 @query("P19_high_watermark_filter", """
