@@ -156,6 +156,23 @@ def test_encoder_equals_the_library():
         assert [np.frombuffer(r, encoder.kind).tolist() for r in encoder.encode(texts)] == want
 
 
+def test_a_batch_of_texts_is_never_held_as_strings():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidegauge.llm.token_files import _tokenize
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array([f"{k}" + " of the word" * 90_000 for k in range(60)])], names=["doc", "text"])
+    run = _tokenize(Q.tokenizer_path(), 2)
+    next(run(iter([batch.slice(0, 1)])))  # loads the library
+    tracemalloc.start()
+    n = sum(out.num_rows for out in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 60 and peak < 48 << 20  # of 65 million characters
+
+
 def test_token_files_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = table_rows(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id", "text")
