@@ -6,7 +6,9 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,6 +18,9 @@ from tidegauge.functions.html import Element, clean_text, parse, tagged, with_at
 
 HEADINGS = frozenset({"h1", "h2", "h3", "h4"})
 EMBEDDED_CHARS, PREVIEW_CHARS = 8_000, 1_000
+#: Bytes of HTML that are read together (a page is never cut).
+PAGE_BYTES = 1 << 20
+_SECTIONS = pa.list_(pa.struct([("heading", pa.string()), ("content", pa.string())]))
 
 
 @dataclass(frozen=True)
@@ -98,20 +103,23 @@ def page_sections(html: str, rules: SiteRules) -> tuple[str, list[tuple[str, str
 
 def extract(pages: DataFrame, kind: str) -> DataFrame:
     """pages(url, html) to (url, title, n_sections, sections array)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = RULES[kind]
-        for pdf in batches:
-            found = [page_sections(html or "", rules) for html in pdf["html"]]
-            yield pd.DataFrame({
-                "url": pdf["url"],
-                "raw_title": [title for title, _ in found],
-                "sections": [
-                    [{"heading": h, "content": c} for h, c in sections] for _, sections in found
-                ],
-            })
+        for batch in batches:
+            until = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                to = int(np.searchsorted(until, PAGE_BYTES + (until[at - 1] if at else 0))) + 1
+                some = batch.slice(at, to - at)
+                found = [page_sections(html or "", rules) for html in some.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array([title for title, _ in found], pa.string()),
+                     pa.array([[{"heading": h, "content": c} for h, c in sections] for _, sections in found], _SECTIONS)],
+                    names=["url", "raw_title", "sections"])
+                at = to
 
     schema = "url string, raw_title string, sections array<struct<heading string, content string>>"
-    out = pages.select("url", "html").mapInPandas(run, schema)
+    out = pages.select("url", "html").mapInArrow(run, schema)
     return out.select("url", clean_title(F.col("raw_title"), kind).alias("title"), "raw_title", "sections")
 
 
