@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +54,35 @@ def test_clean_text():
     assert clean_text("  a  b \n\n c   d\n") == "a b c d"
 
 
+def test_a_tree_leaves_nothing_to_the_cycle_collector():
+    gc.collect()
+    gc.disable()
+    try:
+        page = PAGE + "<div>" * 3000 + "deep"
+        assert docs.page_sections(page, docs.RULES["dbt"])[0] == "Guide - Amazon Web Services docs"
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
+
+
+def test_pages_of_a_batch_are_read_few_at_a_time(spark):
+    class Held:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return spark.createDataFrame([], schema)
+
+    held, html = Held(), "<main><p>" + "x" * 500_000
+    docs.extract(held, "aws")
+    batch = pa.RecordBatch.from_arrays([pa.array("abcdefghi"), pa.array([None, "", *[html] * 6, "<h1>t</h1><main><p>y"])], names=["url", "html"])
+    out = list(held.run(iter([batch])))
+    assert max(o.num_rows for o in out) <= 5  # of a million bytes
+    assert [r for o in out for r in o.column("url").to_pylist()] == list("abcdefghi")
+    assert [len(r) for o in out for r in o.column("sections").to_pylist()] == [0, 0, *[1] * 7]
+
+
 @pytest.fixture
 def extracted(spark):
     pages = spark.createDataFrame([("http://x/s3", PAGE), ("http://y", None)], "url string, html string")
