@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import BLANKS, ROW, ascii_lower, packed, unpacked
 
 
-def line_key(line):
-    """A line without ASCII white space at its ends, A-Z lower-cased."""
-    trimmed = F.btrim(line, F.lit(BLANKS))
+def line_key(trimmed):
+    """The key of a line that has no ASCII white space at its ends: A-Z lower-cased."""
     return F.when(F.octet_length(trimmed) == F.length(trimmed), F.lower(trimmed)).otherwise(ascii_lower(trimmed))
 
 
