@@ -109,6 +109,24 @@ def test_only_equal_pages_are_copies_and_ranges_do_not_matter(spark):
     assert seen[0][100] == "" and seen[0][200].startswith("menu 0") and seen[0][301] == "c 0 c 1 c 2 c 3 c 4"
 
 
+def test_main_text_reads_its_table_by_a_plan_that_names_it(spark, tmp_path):
+    menu = "<div>Site name</div><p>{0}</p><p>Read our terms</p>"
+    urls = [None, "", "http://ä.example/1", "http://z.example/1", "http://😀.example/1", "http://￮.example/1"]
+    rows = [(k or None, u, menu.format(f"text {k}")) for u in urls for k in range(12)]
+    rows += [rows[5]] * 3
+    pages_of(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    seen = []
+    for n in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            out = extract_main_text(spark.read.parquet(f"{tmp_path}/pages.parquet"))
+            assert out.inputFiles() and all(f"{tmp_path}/pages.parquet/" in f for f in out.inputFiles())
+            seen.append(sorted(((r["page_id"] or 0, r["url"] or "", r["text"]) for r in out.collect())))
+        finally:
+            spark.conf.unset("spark.sql.shuffle.partitions")
+    assert seen[0] == seen[1] == sorted((k or 0, u or "", f"text {k or 0}") for k, u, _ in rows)
+
+
 def test_pages_query_against_plain_form(spark):
     import html
     import re

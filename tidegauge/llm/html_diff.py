@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -33,6 +33,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MAIN = frozenset(("article", "main"))
 #: Different pages that are kept on either side of a page: two to compare with, and one that may be its copy.
 KEPT = 3
+#: Columns by which pages are dealt to ranges and lie in them.
+ORDER = ["_host", "_path", "_url", "_id", "_body"]
 
 
 def _named(name: str, attributes: str) -> bool:
@@ -266,19 +268,51 @@ def _numbered(batches: Iterator[pa.RecordBatch], seen: dict) -> Iterator[pa.Reco
         yield batch
 
 
+def _rank(key: tuple) -> tuple:
+    """What puts keys into Spark's order: NULL first, strings by code point."""
+    return tuple((v is not None, v) for v in key)
+
+
+def _first_keys(rows: DataFrame) -> list[tuple]:
+    """The smallest key of each range, in order; Spark draws the ranges from the keys alone."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = rows.select(*ORDER).repartitionByRange(ranges, *ORDER).withColumn("_range", F.spark_partition_id())
+    firsts = keys.groupBy("_range").agg(F.min(F.struct(*ORDER)).alias("_first")).select("_first.*").toArrow()
+    return sorted(zip(*(c.to_pylist() for c in firsts.columns), strict=True), key=_rank)
+
+
+def _range_of(firsts: list[tuple]):
+    """The number of the range that a key is in."""
+    ranks = [_rank(key) for key in firsts[1:]]
+
+    @F.arrow_udf("int")
+    def number(*key: pa.Array) -> pa.Array:
+        return pa.array([bisect_right(ranks, _rank(k)) for k in zip(*(c.to_pylist() for c in key), strict=True)], pa.int32())
+
+    return number
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The range and key of each page that has lines, with the digests of these."""
+    for batch in batches:
+        digests = [_Page("", [t for t, _ in lines_of(body.as_py())]).digests() for body in batch.column(len(ORDER) + 1)]
+        found = batch.select(range(len(ORDER) + 1)).append_column("_lines", pa.array(digests, pa.binary()))
+        yield found.filter(pa.array([bool(d) for d in digests], pa.bool_()))
+
+
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for a range that has lines: its first and its last host, and of each the digests of the
-    KEPT different pages that are nearest to that end, outermost first."""
-    seen, first, last = {}, [], []
-    for host, lines, _ in _runs(_numbered(batches, seen)):
-        if lines:
-            page = _Page(host, lines)
+    KEPT different pages that are nearest to that end, outermost first. Rows are range, host, digests, in order."""
+    number, first, last = None, [], []
+    for batch in batches:
+        for number, host, digests in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            page = _Page(host, None, digests)
             if not first or host == first[0].host:
                 first = _different([*first, page])
             last = _different([page, *(p for p in last if p.host == host)])
     if first:
         yield pa.RecordBatch.from_arrays(
-            [pa.array([seen["range"]], pa.int32()), pa.array([first[0].host], pa.string()), pa.array([last[0].host], pa.string()),
+            [pa.array([number], pa.int32()), pa.array([first[0].host], pa.string()), pa.array([last[0].host], pa.string()),
              *(pa.array([[p.digests() for p in pages]], pa.list_(pa.binary())) for pages in (first, last))],
             names=["range", "first_host", "last_host", "first", "last"])
 
@@ -358,13 +392,6 @@ def _compare(shared_edges):
     return run
 
 
-def _as_dealt(df: DataFrame) -> DataFrame:
-    """The frame over its one physical plan: whatever reads it shares the shuffle, and so the ranges and their order."""
-    frame = df._jdf
-    held = df.sparkSession._jsparkSession.internalCreateDataFrame(frame.queryExecution().toRdd(), frame.schema(), False)
-    return DataFrame(held, df.sparkSession)
-
-
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The id and url of each page with text and n_chars (code points).
 
@@ -375,7 +402,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     inside an article or main element only if both do. Copies are pages whose whole line
     lists are equal; a run of them is compared as one page. The outermost different pages of
     every range (line digests, one row per range) are carried to the ranges beside it, so the
-    text does not depend on how many ranges there are.
+    text does not depend on how many ranges there are. The keys at which ranges begin are taken
+    first; for the edges only the digests of the lines are shuffled, for the texts the pages, each once.
 
     NULL or empty html: empty text. NULL urls form one host. Repeated rows are copies of each
     other and stay. An empty table gives an empty result.
@@ -388,11 +416,18 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{url_col}`").cast("string").alias("_url"), host.alias("_host"),
                         body.alias("_html"), path.alias("_path"), F.xxhash64(body).alias("_body"))
     kind = pages.schema[id_col].dataType.simpleString()
-    order = ["_host", "_path", "_url", "_id", "_body"]
-    dealt = _as_dealt(rows.repartitionByRange(*order).sortWithinPartitions(*order)
-                      .select("_id", "_url", "_host", "_html", F.spark_partition_id().alias("_range")))
-    edges = dealt.mapInArrow(_edges, "range int, first_host string, last_host string, first array<binary>, last array<binary>").collect()
+    firsts = _first_keys(rows)
+    rows = rows.withColumn("_range", _range_of(firsts)(*ORDER))
+
+    def dealt(part: DataFrame) -> DataFrame:
+        return part.repartitionById(max(1, len(firsts)), "_range").sortWithinPartitions(*ORDER)
+
+    lines = rows.select("_range", *ORDER, "_html").mapInArrow(
+        _digested, f"_range int, _host string, _path string, _url string, _id {kind}, _body long, _lines binary")
+    edges = dealt(lines).select("_range", "_host", "_lines").mapInArrow(
+        _edges, "range int, first_host string, last_host string, first array<binary>, last array<binary>").collect()
     near = carried([(r[0], r[1], r[2], [bytes(d) for d in r[3]], [bytes(d) for d in r[4]]) for r in edges])
     shared_edges = pages.sparkSession.sparkContext.broadcast(near)
-    return (dealt.mapInArrow(_compare(shared_edges), f"_id {kind}, _url string, text string, n_chars long")
+    return (dealt(rows).select("_id", "_url", "_host", "_html", "_range")
+            .mapInArrow(_compare(shared_edges), f"_id {kind}, _url string, text string, n_chars long")
             .withColumnRenamed("_id", id_col).withColumnRenamed("_url", url_col))
