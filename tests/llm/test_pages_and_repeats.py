@@ -127,6 +127,21 @@ def test_main_text_reads_its_table_by_a_plan_that_names_it(spark, tmp_path):
     assert seen[0] == seen[1] == sorted((k or 0, u or "", f"text {k or 0}") for k, u, _ in rows)
 
 
+def test_the_same_one_of_equal_lines_goes_for_any_number_of_ranges(spark):
+    first, second, other = ("<article>" + "".join(f"<p>{t}" for t in lines) + "</article>" for lines in ("abcdx", "xxpx", "qrxst"))
+    rows = [(100 * i + j, f"http://a.example/{i}?{j}", h) for i, h in enumerate([first, second, other, "<p>end"]) for j in range(4)]
+    seen = []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in (1, 2, 3, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.append({r["page_id"]: r["text"] for r in extract_main_text(pages_of(spark, rows)).collect()})
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all(s == seen[0] for s in seen) and seen[0][100] == "x x p x"
+
+
 def test_pages_query_against_plain_form(spark):
     import html
     import re

@@ -33,6 +33,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MAIN = frozenset(("article", "main"))
 #: Different pages that are kept on either side of a page: two to compare with, and one that may be its copy.
 KEPT = 3
+#: Pages of a range that is not joined with the next one.
+FEW = 200
 #: Columns by which pages are dealt to ranges and lie in them.
 ORDER = ["_host", "_path", "_url", "_id", "_body"]
 
@@ -226,7 +228,10 @@ class _Run:
 
     def texts(self) -> Iterator[tuple]:
         near = _different(self.before[:1] + self.after[:1] + self.before[1:] + self.after[1:], 2)
-        shared = [self.shared[id(p)] if id(p) in self.shared else self.page.common(p)[0] for p in near]
+        for p in near:
+            if id(p) not in self.shared:  # the page just before comes first, as within a range: else others of equal lines are taken
+                self.shared[id(p)] = p.common(self.page)[1] if p in self.before[:1] else self.page.common(p)[0]
+        shared = [self.shared[id(p)] for p in near]
         marks = text = None
         for page, url, main in self.rows:
             if main is not marks:
@@ -274,11 +279,23 @@ def _rank(key: tuple) -> tuple:
 
 
 def _first_keys(rows: DataFrame) -> list[tuple]:
-    """The smallest key of each range, in order; Spark draws the ranges from the keys alone."""
-    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = rows.select(*ORDER).repartitionByRange(ranges, *ORDER).withColumn("_range", F.spark_partition_id())
-    firsts = keys.groupBy("_range").agg(F.min(F.struct(*ORDER)).alias("_first")).select("_first.*").toArrow()
-    return sorted(zip(*(c.to_pylist() for c in firsts.columns), strict=True), key=_rank)
+    """The smallest key of each range, in order; Spark draws the ranges from the keys alone.
+
+    Ranges of a few pages are joined with the next ones, as long as there is one for each core.
+    """
+    spark = rows.sparkSession
+    keys = rows.select(*ORDER).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *ORDER)
+    counted = keys.withColumn("_range", F.spark_partition_id()).groupBy("_range").agg(
+        F.count(F.lit(1)).alias("_pages"), F.min(F.struct(*ORDER)).alias("_first")).select("_pages", "_first.*").toArrow()
+    drawn = sorted(zip(*(c.to_pylist() for c in counted.columns), strict=True), key=lambda r: _rank(r[1:]))
+    least = min(FEW, sum(r[0] for r in drawn) / spark.sparkContext.defaultParallelism)
+    firsts, held = [], least
+    for pages, *key in drawn:
+        if held >= least:
+            firsts.append(tuple(key))
+            held = 0
+        held += pages
+    return firsts
 
 
 def _range_of(firsts: list[tuple]):
